@@ -1,0 +1 @@
+"""Reserved: the workload is a batch refresh and has no streaming operator."""
