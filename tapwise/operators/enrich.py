@@ -138,7 +138,7 @@ def transfer_discount(priced: DataFrame, lookups: Lookups) -> DataFrame:
             "estimated_transfer_discount": discount,
             "estimated_adult_fare_with_transfers": fare - discount,
         }
-    ).drop("_rate")
+    )
 
 
 def describe_trips(trips: DataFrame, lookups: Lookups) -> DataFrame:

@@ -96,11 +96,11 @@ def with_previous_tag_on(placed: DataFrame) -> DataFrame:
     in_time = F.col("ride_start_time") < F.col("first.ride_start_time") + minutes(
         F.col("first.minutes")
     )
-    return placed.withColumn("first", F.when(in_time, F.col("first"))).drop("_on")
+    return placed.withColumn("first", F.when(in_time, F.col("first")))
 
 
 def name_first_tap(rows: DataFrame, lookups: Lookups) -> DataFrame:
-    """Replaces `first` with the columns that describe the first tap of a transfer."""
+    """Adds what describes the first tap of a transfer."""
     rows = rows.withColumns(
         {
             "trip_1_tag_on_time": F.col("first.ride_start_time"),
@@ -109,7 +109,7 @@ def name_first_tap(rows: DataFrame, lookups: Lookups) -> DataFrame:
             "_origin_1": F.col("first.origin_location"),
             "_destination_1": F.col("first.destination_location"),
         }
-    ).drop("first")
+    )
     rows = attach_by_route(
         rows,
         lookups["start"],
@@ -121,5 +121,4 @@ def name_first_tap(rows: DataFrame, lookups: Lookups) -> DataFrame:
     )
     place = lookups["one_location"]
     rows = place.attach(rows, ["_operator_1", "_origin_1"], _origin_name_1="location_name")
-    rows = place.attach(rows, ["_operator_1", "_destination_1"], _destination_name_1="location_name")
-    return rows.drop("_operator_1", "_route_1", "_origin_1", "_destination_1")
+    return place.attach(rows, ["_operator_1", "_destination_1"], _destination_name_1="location_name")

@@ -29,8 +29,11 @@ class Lookup:
     small: bool = False
 
     def attach(self, rows: DataFrame, on: Iterable[str | Column], **wanted: str) -> DataFrame:
-        """Left join on `on` (one per key); `wanted` maps a new column name to a lookup column."""
-        key_names = [f"_lookup_key_{i}" for i in range(len(self.keys))]
+        """Left join on `on` (one per key); `wanted` maps a new column name to a lookup column.
+
+        The lookup's keys stay in the result under names of their own, for the last select to drop.
+        """
+        key_names = [f"_{next(iter(wanted))}_key_{i}" for i in range(len(self.keys))]
         side = self.frame.select(
             *[F.col(key).alias(name) for key, name in zip(self.keys, key_names)],
             *[F.col(source).alias(name) for name, source in wanted.items()],
@@ -41,11 +44,37 @@ class Lookup:
             (F.col(left) if isinstance(left, str) else left) == F.col(name)
             for left, name in zip(on, key_names, strict=True)
         ]
-        return rows.join(side, reduce(Column.__and__, matches), "left").drop(*key_names)
+        return rows.join(side, reduce(Column.__and__, matches), "left")
+
+
+# Lookup -> its key columns.
+KEYS = {
+    "service": ("operator_id", "route_id"),
+    "unlisted_service": ("operator_id",),
+    "start": ("operator_id", "route_id"),
+    "unlisted_start": ("operator_id",),
+    "location": ("participant_id", "location_code"),
+    "one_location": ("participant_id", "location_code"),
+    "contract_product": ("contract_type",),
+    "coupon": ("id",),
+    "fare": (
+        "operator",
+        "origin_location",
+        "destination_location",
+        "route_type",
+        "fare_year",
+        "fare_month",
+    ),
+    "discount": ("operator_transferred_from", "operator_transferred_to"),
+}
 
 
 class Lookups:
-    """The lookups named, measured together in one small job."""
+    """The lookups named, measured together in one small job.
+
+    Small ones that are themselves joins are kept, so that the jobs to come don't repeat them;
+    `release` gives them up early.
+    """
 
     def __init__(
         self,
@@ -53,17 +82,57 @@ class Lookups:
         names: Iterable[str] | None = None,
         max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     ):
-        wanted = list(_LOOKUPS if names is None else names)
-        frames = {name: _LOOKUPS[name][0](tables) for name in wanted}
+        wanted = tuple(KEYS if names is None else names)
+        self._kept: list[DataFrame] = []
+        frames = {name: self._frame(name, tables) for name in wanted}
         sizes = measured_bytes(frames)
-        self._by_name = {
-            name: Lookup(frame, _LOOKUPS[name][1], sizes[name] <= max_broadcast_bytes)
-            for name, frame in frames.items()
-        }
+        small = {name: size <= max_broadcast_bytes for name, size in sizes.items()}
+        self._by_name = {name: Lookup(frames[name], KEYS[name], small[name]) for name in wanted}
+        if not all(small.values()):
+            self.release()
+
+    def _frame(self, name: str, tables: Tables) -> DataFrame:
+        match name:
+            case "service":
+                return self._services(tables).where("listed")
+            case "unlisted_service":
+                return self._services(tables).where("NOT listed")
+            case "start":
+                return self._keep(best_starts(self._services(tables).where("listed"), *KEYS[name]))
+            case "unlisted_start":
+                return self._keep(
+                    best_starts(self._services(tables).where("NOT listed"), *KEYS[name])
+                )
+            case "location":
+                return tables.location
+            case "one_location":
+                return self._keep(one_location(tables))
+            case "contract_product":
+                return self._keep(contract_products(tables))
+            case "coupon":
+                return self._keep(coupons(tables))
+            case "fare":
+                return tables.fare_table
+            case "discount":
+                return tables.transfer_discount_rules
+        raise KeyError(name)
+
+    def _services(self, tables: Tables) -> DataFrame:
+        if not self._kept or "listed" not in self._kept[0].columns:
+            self._kept.insert(0, services(tables).persist())
+        return self._kept[0]
+
+    def _keep(self, frame: DataFrame) -> DataFrame:
+        self._kept.append(frame.persist())
+        return frame
 
     def __getitem__(self, name: str) -> Lookup:
         return self._by_name[name]
 
+    def release(self) -> None:
+        for frame in self._kept:
+            frame.unpersist()
+
 
 def measured_bytes(frames: dict[str, DataFrame]) -> dict[str, int]:
     """Size of each frame's rows. Summed map-side, so the driver gets one number per frame."""
@@ -88,125 +157,89 @@ def measured_bytes(frames: dict[str, DataFrame]) -> dict[str, int]:
     return {name: found.get(name, 0) for name in frames}
 
 
-# --- what each lookup holds ---------------------------------------------------------------------
-
+def services(tables: Tables) -> DataFrame:
+    """Each listed route of an operator, and a row per operator for rides on no listed route:
+    its names, type, label, and how long a transfer from it may take.
 
-def _with_route_type(named: DataFrame, tables: Tables) -> DataFrame:
-    """Adds route type and operator label to rows having participant_name and route_name.
-
-    A row without a route name takes the participant's route type that has none either.
+    A ride without a route name takes the participant's route type that has none either.
     """
-    types = tables.route_type.select(
-        F.col("participant_name").alias("_participant"),
+    routes = tables.route.select(
+        F.col("participant_id").alias("operator_id"),
+        "route_id",
         F.col("route_name").alias("_route"),
-        "route_type",
+        F.lit(True).alias("listed"),
+    )
+    unlisted = (
+        tables.participant.select(F.col("participant_id").alias("operator_id"))
+        .distinct()
+        .select("operator_id", F.lit(None), F.lit(None), F.lit(False))
+    )
+    participants = tables.participant.select(
+        F.col("participant_id").alias("operator_id"), "participant_name"
+    )
+    types = tables.route_type.withColumnRenamed("participant_name", "_participant")
+    longest_rule = (
+        tables.transfer_time_rules.select(
+            F.col("operator_transferred_from").alias("operator_name"),
+            F.struct(
+                F.col("allowable_transfer_time").cast("int").alias("minutes"),
+                "allowable_transfer_time",
+            ).alias("rule"),
+        )
+        .groupBy("operator_name")
+        .agg(F.max("rule").alias("rule"))
     )
     return (
-        named.join(
+        routes.union(unlisted)
+        .join(participants, "operator_id", "left")
+        .join(
             types,
             (F.col("participant_name") == F.col("_participant"))
-            & F.col("route_name").eqNullSafe(F.col("_route")),
+            & F.col("_route").eqNullSafe(F.col("route_name")),
             "left",
         )
-        # The route name shown is the one in the route type table.
-        .withColumn("route_name", F.col("_route"))
         .withColumn("operator_name", operator_label(F.col("participant_name"), F.col("route_type")))
-        .drop("_participant", "_route")
-    )
-
-
-def _service(tables: Tables) -> DataFrame:
-    """Per listed route of an operator: its names, type and label."""
-    named = tables.route.withColumnRenamed("participant_id", "operator_id").join(
-        tables.participant.withColumnRenamed("participant_id", "operator_id"),
-        "operator_id",
-        "left",
-    )
-    return _with_route_type(named, tables).withColumn("listed", F.lit(True))
-
-
-def _unlisted_service(tables: Tables) -> DataFrame:
-    """Per operator: the same for a ride whose route is not listed."""
-    named = tables.participant.select(
-        F.col("participant_id").alias("operator_id"),
-        "participant_name",
-        F.lit(None).cast("string").alias("route_name"),
+        .join(longest_rule, "operator_name", "left")
+        .select(
+            "operator_id",
+            "route_id",
+            "listed",
+            "participant_name",
+            "route_name",
+            "route_type",
+            "operator_name",
+            "rule.minutes",
+            "rule.allowable_transfer_time",
+        )
     )
-    return _with_route_type(named, tables)
 
 
-def _best_start(service: DataFrame, tables: Tables, *keys: str) -> DataFrame:
-    """One row per key: label and time allowance of a ride as the first of a transfer.
+def best_starts(service: DataFrame, *keys: str) -> DataFrame:
+    """One row per key: label and allowance of a ride as the first of a transfer.
 
     Where duplicate reference rows leave a choice, the longest allowance wins.
     """
-    rules = tables.transfer_time_rules.select(
-        F.col("operator_transferred_from").alias("operator_name"),
-        F.col("allowable_transfer_time").cast("int").alias("minutes"),
-        F.col("allowable_transfer_time"),
-    )
-    best = F.max(F.struct("minutes", "allowable_transfer_time", "operator_name"))
-    return (
-        service.join(rules, "operator_name", "left")
-        .groupBy(*keys)
-        .agg(best.alias("best"))
-        .select(*keys, "best.*")
-    )
-
-
-def _start(tables: Tables) -> DataFrame:
-    keys = ("operator_id", "route_id")
-    return _best_start(_service(tables), tables, *keys).withColumn("listed", F.lit(True))
-
+    best = F.max(F.struct("minutes", "allowable_transfer_time", "operator_name", "listed"))
+    return service.groupBy(*keys).agg(best.alias("best")).select(*keys, "best.*")
 
-def _unlisted_start(tables: Tables) -> DataFrame:
-    return _best_start(_unlisted_service(tables), tables, "operator_id")
 
-
-def _one_location(tables: Tables) -> DataFrame:
+def one_location(tables: Tables) -> DataFrame:
     return tables.location.groupBy("participant_id", "location_code").agg(
         F.max("location_name").alias("location_name")
     )
 
 
-def _contract_products(tables: Tables) -> DataFrame:
+def contract_products(tables: Tables) -> DataFrame:
     issued = ["issuer_id", "product_type"]
     return tables.contract_product.join(tables.product, issued, "left").select(
         "contract_type", F.col("description").alias("product_name")
     )
 
 
-def _coupons(tables: Tables) -> DataFrame:
+def coupons(tables: Tables) -> DataFrame:
     return tables.coupon_contract.select("id").distinct().withColumn("is_coupon", F.lit(1))
 
 
-_LOOKUPS = {
-    "service": (_service, ("operator_id", "route_id")),
-    "unlisted_service": (_unlisted_service, ("operator_id",)),
-    "start": (_start, ("operator_id", "route_id")),
-    "unlisted_start": (_unlisted_start, ("operator_id",)),
-    "location": (lambda t: t.location, ("participant_id", "location_code")),
-    "one_location": (_one_location, ("participant_id", "location_code")),
-    "contract_product": (_contract_products, ("contract_type",)),
-    "coupon": (_coupons, ("id",)),
-    "fare": (
-        lambda t: t.fare_table,
-        (
-            "operator",
-            "origin_location",
-            "destination_location",
-            "route_type",
-            "fare_year",
-            "fare_month",
-        ),
-    ),
-    "discount": (
-        lambda t: t.transfer_discount_rules,
-        ("operator_transferred_from", "operator_transferred_to"),
-    ),
-}
-
-
 def attach_by_route(
     rows: DataFrame,
     listed: Lookup,
@@ -216,16 +249,16 @@ def attach_by_route(
     **wanted: str,
 ) -> DataFrame:
     """Attach from `listed` by operator and route, else from `unlisted` by operator alone."""
-    first = {f"_listed_{name}": source for name, source in wanted.items()}
-    second = {f"_unlisted_{name}": source for name, source in wanted.items()}
-    rows = listed.attach(rows, [operator, route], _listed="listed", **first)
-    rows = unlisted.attach(
-        rows, [F.when(F.col("_listed").isNull(), F.col(operator))], **second
+    mark = f"_listed_{next(iter(wanted))}"
+    first = {f"_listed_as_{name}": source for name, source in wanted.items()}
+    second = {f"_unlisted_as_{name}": source for name, source in wanted.items()}
+    rows = listed.attach(rows, [operator, route], **{mark: "listed"}, **first)
+    rows = unlisted.attach(rows, [F.when(F.col(mark).isNull(), F.col(operator))], **second)
+    return rows.withColumns(
+        {
+            name: F.when(F.col(mark), F.col(f"_listed_as_{name}")).otherwise(
+                F.col(f"_unlisted_as_{name}")
+            )
+            for name in wanted
+        }
     )
-    chosen = {
-        name: F.when(F.col("_listed"), F.col(f"_listed_{name}")).otherwise(
-            F.col(f"_unlisted_{name}")
-        )
-        for name in wanted
-    }
-    return rows.withColumns(chosen).drop("_listed", *first, *second)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapwise.functions import values as V
-from tapwise.functions.expressions import tag_off_charge
+from tapwise.functions.expressions import fare_category_name, tag_off_charge
 from tapwise.operators.enrich import TRANSFER_CONTEXT, describe_trips, join_transfers
 from tapwise.operators.linking import (
     SLICE_HOURS,
@@ -24,21 +24,31 @@ from tapwise.operators.linking import (
 from tapwise.operators.lookups import Lookups
 from tapwise.operators.pairing import with_fare_period
 from tapwise.operators.taps import fare_tx_subset
-from tapwise.schema import OUTPUT_COLUMNS, SUBSET_COLUMNS, TRIP_COLUMNS
+from tapwise.schema import OUTPUT_COLUMNS, TAP_COLUMNS, TRIP_COLUMNS
 from tapwise.sources.tables import Tables
 
 
 def _distinct_taps(subset: DataFrame) -> DataFrame:
-    """Copies of a tap make no further trips. Adds `side`: 0 for a tag-on, 1 for a tag-off."""
+    """Tag-ons and tag-offs without copies, which would make no further trips.
+
+    Copies are dropped within each task before the shuffle. The rider category's name follows from
+    its code, so it is left out until the end. Adds `side`: 0 for a tag-on, 1 for
+    a tag-off.
+    """
     code = F.col("fare_transaction_sub_type")
     return (
-        subset.select(*SUBSET_COLUMNS)
+        subset.select(*TAP_COLUMNS)
         .where(code.isin(*V.TAG_ON_CODES, *V.TAG_OFF_CODES))
         .distinct()
         .withColumn("side", code.isin(*V.TAG_OFF_CODES).cast("int"))
     )
 
 
+def _finish(trips: DataFrame, *more: str) -> DataFrame:
+    trips = trips.withColumn("fare_category_name", fare_category_name(F.col("fare_category")))
+    return with_fare_period(trips).select(*TRIP_COLUMNS, *more)
+
+
 def pair_taps(taps: DataFrame, *instant: str) -> DataFrame:
     """Trips from distinct taps that are placed by `instant` and sorted by it and `side`.
 
@@ -65,9 +75,13 @@ def pair_taps(taps: DataFrame, *instant: str) -> DataFrame:
     refunded = F.array_distinct(F.transform("_on_amounts", after_refund))
     return (
         taps.where(~(is_on & paired))
-        .withColumn("has_tag_on", is_on | paired)
-        .withColumn("trip_type", _trip_type(is_on, paired))
-        .withColumn("_refund", paired & (sub_type == V.REFUND_CODE))
+        .withColumns(
+            {
+                "has_tag_on": is_on | paired,
+                "trip_type": _trip_type(is_on, paired),
+                "_refund": paired & (sub_type == V.REFUND_CODE),
+            }
+        )
         .withColumn("_refunded", F.explode_outer(F.when(F.col("_refund"), refunded)))
         .withColumn(
             "fare_charged",
@@ -75,7 +89,6 @@ def pair_taps(taps: DataFrame, *instant: str) -> DataFrame:
             .when(F.col("_refund"), F.col("_refunded"))
             .otherwise(tag_off_charge(sub_type, amount)),
         )
-        .drop("_off", "_on", "_on_amounts", "_refund", "_refunded")
     )
 
 
@@ -89,8 +102,9 @@ def _trip_type(is_on: Column, paired: Column) -> Column:
 
 def trips(subset: DataFrame) -> DataFrame:
     """All trips of a subset of taps."""
-    instant = ("card_id", "ride_start_time")
-    return with_fare_period(pair_taps(_distinct_taps(subset), *instant)).select(*TRIP_COLUMNS)
+    ride = ("card_id", "ride_start_time")
+    placed = _distinct_taps(subset).repartition(*ride).sortWithinPartitions(*ride, "side")
+    return _finish(pair_taps(placed, *ride))
 
 
 def trips_with_context(
@@ -121,7 +135,7 @@ def trips_with_context(
             transferred, F.coalesce("_destination_name_1", F.lit(V.UNKNOWN_NAME))
         ),
     }
-    return with_fare_period(named.withColumns(context)).select(*TRIP_COLUMNS, *TRANSFER_CONTEXT)
+    return _finish(named.withColumns(context), *TRANSFER_CONTEXT)
 
 
 def enriched_trips(tables: Tables, since: str = V.SINCE, lookups: Lookups | None = None) -> DataFrame:
