@@ -1,23 +1,27 @@
 """Looking back from a tap to the card's tag-on before it, without one task per card.
 
-A card is cut into time slices, so that one holding a large share of all taps is spread over many
-tasks. A tag-on can only start a transfer within its operator's allowance. So each is also put in
-the later slices its longest allowance reaches, as an echo that is looked back to but is not a row
-of that slice. No pair of taps is ever formed.
+Taps are brought together by (card, slice). An ordinary card is one slice. A card with very many
+taps is cut by time into slices of about equal size; what a slice must know of the time before it,
+the card's last tag-on, is summed up per slice first. No pair of taps is ever formed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tapwise.functions.expressions import hour_number, minutes
-from tapwise.operators.lookups import Lookups, attach_by_route
-from tapwise.sources.tables import Tables
+from tapwise.functions import values as V
+from tapwise.functions.expressions import minutes, moment, second_number
+from tapwise.operators.lookups import Lookup, Lookups, attach_by_route
+from tapwise.schema import TAP_COLUMNS
 
-SLICE_HOURS = 6
 LINK_LOOKUPS = ("start", "unlisted_start", "one_location")
 
+# A card with more taps than this is cut into slices of about this size.
+SLICE_ROWS = 250_000
+
 # What is remembered of a tag-on. Latest first, then longest allowance; the rest settles ties
 # between taps at one instant, where any choice is valid.
 _REMEMBERED = (
@@ -30,39 +34,68 @@ _REMEMBERED = (
 )
 
 
-def longest_allowance(tables: Tables) -> Column:
-    """Longest allowance of any rule, in minutes, as a scalar subquery."""
-    rule = F.col("allowable_transfer_time").cast("int")
-    return tables.transfer_time_rules.select(F.greatest(F.max(rule), F.lit(0))).scalar()
-
-
-def by_card_and_time(
-    taps: DataFrame,
-    is_tag_on: Column,
-    longest: Column,
-    order: tuple[str, ...] = (),
-    slice_hours: int = SLICE_HOURS,
-) -> DataFrame:
-    """Place taps by (card, time slice), sorted by ride start and then `order`.
-
-    Adds `slice`, `is_tag_on` and `is_echo`.
-    """
-    time = F.col("ride_start_time")
-    taps = taps.withColumns({"is_tag_on": is_tag_on, "_longest": longest})
-    width = F.greatest(F.lit(slice_hours), F.ceil(F.col("_longest") / 60))
-    own = F.floor(hour_number(time) / width)
-    reach = F.floor(hour_number(time + minutes(F.col("_longest"))) / width)
-    # Taps without a card pair with nothing, so they go anywhere, evenly.
-    anywhere = F.xxhash64(*taps.columns[:-2])
-    known = F.col("card_id").isNotNull()
+@dataclass(frozen=True)
+class Slices:
+    """How the cards of some taps are cut, and each slice's last tag-on before it. Both are None if
+    no card is big enough to cut."""
+
+    cuts: Lookup | None = None
+    before: Lookup | None = None
+
+    @classmethod
+    def of(cls, taps: DataFrame, lookups: Lookups, slice_rows: int = SLICE_ROWS) -> Slices:
+        """Measure the cards of `taps`, which have the column `side`; reads little more than card
+        and time unless there is something to cut."""
+        cuts = lookups.measured(heavy_cards(taps, slice_rows), "card_id")
+        if cuts is None:
+            return cls()
+        heavy_ons = cls(cuts).place(taps.where("side = 0")).where("_width IS NOT NULL")
+        last = (
+            with_allowance(heavy_ons, lookups)
+            .groupBy("card_id", "slice")
+            .agg(F.max(F.struct(*_REMEMBERED)).alias("last"))
+        )
+        by_slice = Window.partitionBy("card_id").orderBy("slice")
+        before = last.select("card_id", "slice", F.lag("last").over(by_slice).alias("before"))
+        return cls(cuts, lookups.measured(before.where("before IS NOT NULL"), "card_id", "slice"))
+
+    def place(self, taps: DataFrame) -> DataFrame:
+        """Adds `slice`. Taps without a card pair with nothing, so they go anywhere, evenly."""
+        number = F.lit(0).cast("bigint")
+        if self.cuts is not None:
+            taps = self.cuts.attach(taps, ["card_id"], _width="width", _start="start")
+            since_start = second_number(F.col("ride_start_time")) - F.col("_start")
+            number = F.coalesce(F.floor(since_start / F.col("_width")), number)
+        anywhere = F.xxhash64(*[c for c in TAP_COLUMNS if c in taps.columns])
+        return taps.withColumn("slice", F.when(F.col("card_id").isNull(), anywhere).otherwise(number))
+
+    def attach_before(self, taps: DataFrame) -> DataFrame:
+        """Where a row's slice holds no tag-on before it, makes `latest` the one from an earlier
+        slice."""
+        if self.before is None:
+            return taps
+        taps = self.before.attach(taps, ["card_id", "slice"], before="before")
+        return taps.withColumn("latest", F.coalesce("latest", "before"))
+
+
+def heavy_cards(taps: DataFrame, slice_rows: int) -> DataFrame:
+    """Cards with more than `slice_rows` taps: second of their first tap, and seconds per slice."""
+    second = second_number(F.col("ride_start_time"))
     return (
-        taps.withColumn("_own", F.when(known, own).otherwise(anywhere))
-        .withColumn("_reach", F.when(known & F.col("is_tag_on"), reach).otherwise(F.col("_own")))
-        .withColumn("slice", F.explode(F.sequence("_own", "_reach")))
-        .withColumn("is_echo", F.col("slice") > F.col("_own"))
-        .drop("_longest", "_own", "_reach")
-        .repartition("card_id", "slice")
-        .sortWithinPartitions("card_id", "slice", "ride_start_time", *order)
+        taps.where("card_id IS NOT NULL")
+        .groupBy("card_id")
+        .agg(
+            F.count(F.lit(1)).alias("taps"),
+            F.min(second).alias("start"),
+            F.max(second).alias("end"),
+        )
+        .where(F.col("taps") > slice_rows)
+        .withColumn("pieces", F.ceil(F.col("taps") / slice_rows))
+        .select(
+            "card_id",
+            "start",
+            F.ceil((F.col("end") - F.col("start") + 1) / F.col("pieces")).alias("width"),
+        )
     )
 
 
@@ -78,29 +111,42 @@ def with_allowance(taps: DataFrame, lookups: Lookups) -> DataFrame:
     )
 
 
-def with_previous_tag_on(placed: DataFrame) -> DataFrame:
-    """Adds `first`: the card's last tag-on strictly before the row, if the row is in its time.
+# A card's taps in time order, within a slice; `bring_together` puts them so.
+BY_MOMENT = ("card_id", "slice", "moment")
+
+
+def bring_together(taps: DataFrame, lookups: Lookups, slices: Slices, *columns: str) -> DataFrame:
+    """`columns` of the taps, with the taps of a card and slice in one place and in time order."""
+    return (
+        slices.place(with_allowance(taps, lookups))
+        .select(*columns, "minutes", "side", "slice")
+        .repartition("card_id", "slice")
+        .withColumn("moment", moment(F.col("ride_start_time"), F.col("side")))
+        .sortWithinPartitions(*BY_MOMENT)
+    )
 
-    It is enough to look at that one. If an earlier tag-on had the row within its allowance, it
+
+def latest_tag_on(card: WindowSpec) -> Column:
+    """The last tag-on strictly before a row, looking back along `moment`."""
+    is_tag_on = (F.col("side") == 0) & F.col("card_id").isNotNull()
+    tag_on = F.when(is_tag_on, F.struct(*_REMEMBERED))
+    # Two back from a tap's moment lies before every tap of its instant.
+    return F.max(tag_on).over(card.rangeBetween(Window.unboundedPreceding, -2))
+
+
+def within_allowance() -> Column:
+    """`latest`, if the row is within its allowance.
+
+    It is enough to look at the last tag-on. If an earlier one had the row within its allowance, it
     had this one within it too, and sooner.
     """
-    placed = placed.withColumn(
-        "_on", F.when(F.col("is_tag_on") & F.col("card_id").isNotNull(), F.struct(*_REMEMBERED))
-    ).withColumn(
-        "first",
-        F.expr(
-            "max(_on) OVER (PARTITION BY card_id, slice ORDER BY ride_start_time"
-            " RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL '0.000001' SECOND PRECEDING)"
-        ),
-    )
-    in_time = F.col("ride_start_time") < F.col("first.ride_start_time") + minutes(
-        F.col("first.minutes")
-    )
-    return placed.withColumn("first", F.when(in_time, F.col("first")))
+    end = F.col("latest.ride_start_time") + minutes(F.col("latest.minutes"))
+    return F.when(F.col("ride_start_time") < end, F.col("latest"))
 
 
 def name_first_tap(rows: DataFrame, lookups: Lookups) -> DataFrame:
-    """Adds what describes the first tap of a transfer."""
+    """Adds what describes `first`, the first tap of a transfer; NULL where there is none."""
+    transferred = F.col("first").isNotNull()
     rows = rows.withColumns(
         {
             "trip_1_tag_on_time": F.col("first.ride_start_time"),
@@ -108,6 +154,7 @@ def name_first_tap(rows: DataFrame, lookups: Lookups) -> DataFrame:
             "_route_1": F.col("first.route_id"),
             "_origin_1": F.col("first.origin_location"),
             "_destination_1": F.col("first.destination_location"),
+            "transfer_flag": F.when(transferred, F.lit(1)),
         }
     )
     rows = attach_by_route(
@@ -121,4 +168,14 @@ def name_first_tap(rows: DataFrame, lookups: Lookups) -> DataFrame:
     )
     place = lookups["one_location"]
     rows = place.attach(rows, ["_operator_1", "_origin_1"], _origin_name_1="location_name")
-    return place.attach(rows, ["_operator_1", "_destination_1"], _destination_name_1="location_name")
+    rows = place.attach(rows, ["_operator_1", "_destination_1"], _destination_name_1="location_name")
+
+    def shown(name: str) -> Column:
+        return F.when(F.col("transfer_flag") == 1, F.coalesce(name, F.lit(V.UNKNOWN_NAME)))
+
+    return rows.withColumns(
+        {
+            "trip_1_origin_location_name": shown("_origin_name_1"),
+            "trip_1_destination_location_name": shown("_destination_name_1"),
+        }
+    )

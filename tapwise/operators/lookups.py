@@ -84,6 +84,7 @@ class Lookups:
     ):
         wanted = tuple(KEYS if names is None else names)
         self._kept: list[DataFrame] = []
+        self._max_broadcast_bytes = max_broadcast_bytes
         frames = {name: self._frame(name, tables) for name in wanted}
         sizes = measured_bytes(frames)
         small = {name: size <= max_broadcast_bytes for name, size in sizes.items()}
@@ -117,6 +118,11 @@ class Lookups:
                 return tables.transfer_discount_rules
         raise KeyError(name)
 
+    def measured(self, frame: DataFrame, *keys: str) -> Lookup | None:
+        """A lookup that isn't reference data, or None if it has no rows."""
+        size = measured_bytes({"": self._keep(frame)})[""]
+        return Lookup(frame, keys, size <= self._max_broadcast_bytes) if size else None
+
     def _services(self, tables: Tables) -> DataFrame:
         if not self._kept or "listed" not in self._kept[0].columns:
             self._kept.insert(0, services(tables).persist())
@@ -143,7 +149,12 @@ def measured_bytes(frames: dict[str, DataFrame]) -> dict[str, int]:
             for field in frame.schema
             if isinstance(field.dataType, (T.StringType, T.BinaryType))
         ]
-        fixed = ROW_OVERHEAD_BYTES + 16 * len(frame.columns)
+        fields = [
+            f
+            for field in frame.schema
+            for f in (field.dataType if isinstance(field.dataType, T.StructType) else [field])
+        ]
+        fixed = ROW_OVERHEAD_BYTES + 16 * len(fields)
         return reduce(Column.__add__, texts, F.lit(fixed)).cast("bigint")
 
     rows = reduce(
@@ -153,7 +164,8 @@ def measured_bytes(frames: dict[str, DataFrame]) -> dict[str, int]:
             for name, frame in frames.items()
         ],
     )
-    found = {r["name"]: r["bytes"] for r in rows.groupBy("name").agg(F.sum("bytes").alias("bytes")).collect()}
+    totals = rows.groupBy("name").agg(F.sum("bytes").alias("bytes"))
+    found = {row["name"]: row["bytes"] for row in totals.collect()}
     return {name: found.get(name, 0) for name in frames}
 
 

@@ -2,29 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapwise.functions import values as V
 from tapwise.operators.linking import (
     LINK_LOOKUPS,
-    SLICE_HOURS,
-    by_card_and_time,
-    longest_allowance,
+    SLICE_ROWS,
+    Slices,
+    bring_together,
+    latest_tag_on,
     name_first_tap,
-    with_allowance,
-    with_previous_tag_on,
+    within_allowance,
 )
 from tapwise.operators.lookups import Lookups
 from tapwise.schema import TRANSFER_COLUMNS
 from tapwise.sources.tables import Tables
 
+_COLUMNS = (
+    "card_id",
+    "ride_start_time",
+    "operator_id",
+    "route_id",
+    "origin_location",
+    "destination_location",
+)
+
 
 def transfers(
     ons: DataFrame,
     tables: Tables,
     lookups: Lookups | None = None,
-    slice_hours: int = SLICE_HOURS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """One row per transfer. Both taps are tag-ons; the second may be with any operator.
 
@@ -32,39 +40,20 @@ def transfers(
     second tap at the same instant, or exactly at the end of the allowance, is no transfer.
     """
     lookups = lookups or Lookups(tables, LINK_LOOKUPS)
-    taps = (
-        ons.select(
-            "card_id",
-            "ride_start_time",
-            "operator_id",
-            "route_id",
-            "origin_location",
-            "destination_location",
-        )
-        .where(F.col("card_id").isNotNull())
-        .distinct()
-    )
-    placed = by_card_and_time(
-        with_allowance(taps, lookups), F.lit(True), longest_allowance(tables), (), slice_hours
-    )
-    # Rows are already placed by card and slice, so this distinct moves nothing.
+    taps = ons.select(*_COLUMNS).where("card_id IS NOT NULL").withColumn("side", F.lit(0))
+    slices = Slices.of(taps, lookups, slice_rows)
+    together = bring_together(taps.distinct(), lookups, slices, *_COLUMNS)
+    card = Window.partitionBy("card_id", "slice").orderBy("moment")
+    looked_back = slices.attach_before(together.withColumn("latest", latest_tag_on(card)))
+    # Taps at one instant have the same transfer. They are in one place, so this moves nothing.
     second = (
-        with_previous_tag_on(placed)
-        .where(~F.col("is_echo") & F.col("first").isNotNull())
+        looked_back.withColumn("first", within_allowance())
+        .where("first IS NOT NULL")
         .select("card_id", "slice", "ride_start_time", "first")
         .distinct()
     )
     return (
         name_first_tap(second, lookups)
-        .withColumns(
-            {
-                "trip_2_tag_on_time": F.col("ride_start_time"),
-                "trip_1_origin_location_name": F.coalesce("_origin_name_1", F.lit(V.UNKNOWN_NAME)),
-                "trip_1_destination_location_name": F.coalesce(
-                    "_destination_name_1", F.lit(V.UNKNOWN_NAME)
-                ),
-                "transfer_flag": F.lit(1),
-            }
-        )
+        .withColumn("trip_2_tag_on_time", F.col("ride_start_time"))
         .select(*TRANSFER_COLUMNS)
     )

@@ -7,19 +7,19 @@ to bring a card's taps together. Pairing and transfers are then windows over the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tapwise.functions import values as V
 from tapwise.functions.expressions import fare_category_name, tag_off_charge
 from tapwise.operators.enrich import TRANSFER_CONTEXT, describe_trips, join_transfers
 from tapwise.operators.linking import (
-    SLICE_HOURS,
-    by_card_and_time,
-    longest_allowance,
+    SLICE_ROWS,
+    Slices,
+    bring_together,
+    latest_tag_on,
     name_first_tap,
-    with_allowance,
-    with_previous_tag_on,
+    within_allowance,
 )
 from tapwise.operators.lookups import Lookups
 from tapwise.operators.pairing import with_fare_period
@@ -28,45 +28,52 @@ from tapwise.schema import OUTPUT_COLUMNS, TAP_COLUMNS, TRIP_COLUMNS
 from tapwise.sources.tables import Tables
 
 
-def _distinct_taps(subset: DataFrame) -> DataFrame:
-    """Tag-ons and tag-offs without copies, which would make no further trips.
-
-    Copies are dropped within each task before the shuffle. The rider category's name follows from
-    its code, so it is left out until the end. Adds `side`: 0 for a tag-on, 1 for
-    a tag-off.
-    """
+def known_taps(subset: DataFrame) -> DataFrame:
+    """Tag-ons and tag-offs of a subset. Adds `side`: 0 for a tag-on, 1 for a tag-off."""
     code = F.col("fare_transaction_sub_type")
     return (
         subset.select(*TAP_COLUMNS)
         .where(code.isin(*V.TAG_ON_CODES, *V.TAG_OFF_CODES))
-        .distinct()
         .withColumn("side", code.isin(*V.TAG_OFF_CODES).cast("int"))
     )
 
 
+def distinct_taps(subset: DataFrame) -> DataFrame:
+    """Known taps without copies, which would make no further trips.
+
+    Copies are dropped within each task before the shuffle. The rider category's name follows from
+    its code, so it is left out until the end.
+    """
+    return known_taps(subset).distinct()
+
+
 def _finish(trips: DataFrame, *more: str) -> DataFrame:
     trips = trips.withColumn("fare_category_name", fare_category_name(F.col("fare_category")))
     return with_fare_period(trips).select(*TRIP_COLUMNS, *more)
 
 
-def pair_taps(taps: DataFrame, *instant: str) -> DataFrame:
-    """Trips from distinct taps that are placed by `instant` and sorted by it and `side`.
+def partners(ride: WindowSpec) -> dict[str, Column]:
+    """What a tap must know of its partners. `ride` orders the taps of an instant by side: a
+    tag-off sees the tag-ons one back, a tag-on the tag-offs one ahead.
 
-    Adds fare_charged, trip_type and `has_tag_on`. A refund yields a row per distinct amount its
-    instant's tag-ons charged; the amounts are gathered on refunds only, never on the tag-ons.
+    The amounts are gathered on tag-offs only, and each is a row of a refund's result; an instant
+    with many tag-ons and no tag-off gathers nothing.
     """
-    ride = Window.partitionBy(*instant).orderBy("side")
-    everyone = ride.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    taps = taps.withColumns(
-        {
-            "_off": F.max("side").over(everyone) == 1,
-            "_on": F.min("side").over(everyone) == 0,
-            # One step back in `side`: a tag-off sees the tag-ons, a tag-on sees nothing.
-            "_on_amounts": F.collect_set(F.struct("purse_amount")).over(ride.rangeBetween(-1, -1)),
-        }
-    )
-    is_on = F.col("side") == 0
-    paired = F.col("card_id").isNotNull() & F.col("_on") & F.col("_off")
+    return {
+        "_on_amounts": F.collect_set(F.struct("purse_amount")).over(ride.rangeBetween(-1, -1)),
+        "_off_after": F.max("side").over(ride.rangeBetween(1, 1)),
+    }
+
+
+def pair_taps(taps: DataFrame) -> DataFrame:
+    """Trips from distinct taps that carry the columns of `partners`.
+
+    Adds fare_charged, trip_type and `has_tag_on`. A refund yields a row per distinct amount that
+    its instant's tag-ons charged.
+    """
+    known, is_on = F.col("card_id").isNotNull(), F.col("side") == 0
+    paired_on = known & is_on & F.col("_off_after").isNotNull()
+    paired_off = known & ~is_on & (F.size("_on_amounts") > 0)
     sub_type, amount = F.col("fare_transaction_sub_type"), F.col("purse_amount")
 
     def after_refund(on: Column) -> Column:
@@ -74,12 +81,12 @@ def pair_taps(taps: DataFrame, *instant: str) -> DataFrame:
 
     refunded = F.array_distinct(F.transform("_on_amounts", after_refund))
     return (
-        taps.where(~(is_on & paired))
+        taps.where(~paired_on)
         .withColumns(
             {
-                "has_tag_on": is_on | paired,
-                "trip_type": _trip_type(is_on, paired),
-                "_refund": paired & (sub_type == V.REFUND_CODE),
+                "has_tag_on": is_on | paired_off,
+                "trip_type": _trip_type(is_on, paired_off),
+                "_refund": paired_off & (sub_type == V.REFUND_CODE),
             }
         )
         .withColumn("_refunded", F.explode_outer(F.when(F.col("_refund"), refunded)))
@@ -102,40 +109,31 @@ def _trip_type(is_on: Column, paired: Column) -> Column:
 
 def trips(subset: DataFrame) -> DataFrame:
     """All trips of a subset of taps."""
-    ride = ("card_id", "ride_start_time")
-    placed = _distinct_taps(subset).repartition(*ride).sortWithinPartitions(*ride, "side")
-    return _finish(pair_taps(placed, *ride))
+    keys = ("card_id", "ride_start_time")
+    placed = distinct_taps(subset).repartition(*keys).sortWithinPartitions(*keys, "side")
+    ride = Window.partitionBy(*keys).orderBy("side")
+    return _finish(pair_taps(placed.withColumns(partners(ride))))
 
 
 def trips_with_context(
     subset: DataFrame,
     tables: Tables,
     lookups: Lookups | None = None,
-    slice_hours: int = SLICE_HOURS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """All trips, each with the transfer that led to it."""
     lookups = lookups or Lookups(tables)
-    taps = with_allowance(_distinct_taps(subset), lookups)
-    placed = by_card_and_time(
-        taps, F.col("side") == 0, longest_allowance(tables), ("side",), slice_hours
+    slices = Slices.of(known_taps(subset), lookups, slice_rows)
+    together = bring_together(distinct_taps(subset), lookups, slices, *TAP_COLUMNS)
+    card = Window.partitionBy("card_id", "slice").orderBy("moment")
+    linked = slices.attach_before(
+        together.withColumns({"latest": latest_tag_on(card), **partners(card)})
     )
-    linked = with_previous_tag_on(placed).where(~F.col("is_echo"))
-    paired = pair_taps(linked, "card_id", "slice", "ride_start_time").withColumn(
-        "first", F.when(F.col("has_tag_on"), F.col("first"))
+    paired = pair_taps(linked).withColumn("first", F.when(F.col("has_tag_on"), within_allowance()))
+    named = name_first_tap(paired, lookups).withColumns(
+        {name: F.col(source) for name, source in TRANSFER_CONTEXT.items()}
     )
-    named = name_first_tap(paired, lookups)
-    transferred = F.col("trip_1_tag_on_time").isNotNull()
-    context = {
-        "started_by_transfer": F.when(transferred, F.lit(1)),
-        "operator_transferred_from": F.col("trip_1_operator"),
-        "trip_1_origin_location_name": F.when(
-            transferred, F.coalesce("_origin_name_1", F.lit(V.UNKNOWN_NAME))
-        ),
-        "trip_1_destination_location_name": F.when(
-            transferred, F.coalesce("_destination_name_1", F.lit(V.UNKNOWN_NAME))
-        ),
-    }
-    return _finish(named.withColumns(context), *TRANSFER_CONTEXT)
+    return _finish(named, *TRANSFER_CONTEXT)
 
 
 def enriched_trips(tables: Tables, since: str = V.SINCE, lookups: Lookups | None = None) -> DataFrame:
