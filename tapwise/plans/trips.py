@@ -136,11 +136,17 @@ def trips_with_context(
     return _finish(named, *TRANSFER_CONTEXT)
 
 
-def enriched_trips(tables: Tables, since: str = V.SINCE, lookups: Lookups | None = None) -> DataFrame:
+def enriched_trips(
+    tables: Tables,
+    since: str = V.SINCE,
+    lookups: Lookups | None = None,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
     """The wide trip table of the newest period, straight from its taps."""
     lookups = lookups or Lookups(tables)
     subset = fare_tx_subset(tables.taps, since)
-    return describe_trips(trips_with_context(subset, tables, lookups), lookups).select(
+    linked = trips_with_context(subset, tables, lookups, slice_rows)
+    return describe_trips(linked, lookups).select(
         *OUTPUT_COLUMNS
     )
 

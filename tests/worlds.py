@@ -1,0 +1,377 @@
+"""Small made-up inputs, and a plain-Python account of what should come out of them.
+
+The account goes row by row and shares nothing with the engine but its table of labels.
+"""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+from pyspark.sql import types as T
+
+from tapwise.functions.values import OPERATOR_LABELS
+from tapwise.schema import INPUT_COLUMNS
+from tapwise.sources.tables import Tables
+
+_TEXT = {
+    "participant_name",
+    "location_name",
+    "route_name",
+    "route_type",
+    "description",
+    "operator",
+    "allowable_transfer_time",
+    "operator_transferred_from",
+    "operator_transferred_to",
+    "transfer_discount_available",
+}
+_TYPES = {
+    "card_id": T.LongType(),
+    "ride_start_time": T.TimestampNTZType(),
+    "purse_amount": T.LongType(),
+    "fare_discount": T.LongType(),
+    "adult_fare": T.DecimalType(10, 2),
+}
+
+
+def schema_of(table: str) -> T.StructType:
+    def type_of(column: str):
+        if column in _TEXT or (table == "fare_table" and column.endswith("_location")):
+            return T.StringType()
+        return _TYPES.get(column, T.IntegerType())
+
+    return T.StructType([T.StructField(c, type_of(c)) for c in INPUT_COLUMNS[table]])
+
+
+def make_tables(spark, **rows) -> Tables:
+    """Tables from lists of tuples; those not given are empty."""
+    return Tables(
+        **{t: spark.createDataFrame(rows.get(t, []), schema_of(t)) for t in INPUT_COLUMNS}
+    )
+
+
+NOON = datetime(2024, 3, 10, 0, 30)
+
+
+def tap(card=1, at=0, sub_type=1, **other):
+    """A tap `at` minutes after half past midnight of the day summer time began."""
+    values = dict(
+        card_id=card,
+        ride_start_time=at if isinstance(at, datetime) else NOON + timedelta(minutes=at),
+        operator_id=1,
+        origin_location=1,
+        destination_location=2,
+        fare_transaction_sub_type=sub_type,
+        route_id=1,
+        fare_category=0,
+        fare_discount=0,
+        purse_amount=250,
+        contract_id=1,
+        institution_id=None,
+    )
+    assert not set(other) - set(values), other
+    values.update(other)
+    return tuple(values[c] for c in INPUT_COLUMNS["taps"])
+
+
+def random_world(seed: int, taps: int = 160) -> dict[str, list[tuple]]:
+    """Few cards and instants, so ties, copies and missing values are common. Reference tables
+    have duplicate keys, holes and NULLs."""
+    r = random.Random(seed)
+    names = ["Golden Gate Transit", "Napa Solano", "East Bay", "Corridor 101", "Ferry"]
+    kinds = sorted({k.replace("*", " X") for _, ks, _ in OPERATOR_LABELS for k in ks}) + ["Plain"]
+    labels = sorted({label for *_, label in OPERATOR_LABELS}) + names
+
+    def maybe(value, chance=0.1):
+        return None if r.random() < chance else value
+
+    rows = [
+        tap(
+            card=maybe(r.randrange(4)),
+            at=datetime(2024, r.choice([6, 7]), r.choice([1, 30]), 23 * r.randrange(2))
+            + timedelta(minutes=15 * r.randrange(12)),
+            sub_type=maybe(r.choice([1, 1, 2, 3, 3, 4, 5, 5, 9]), 0.03),
+            operator_id=maybe(r.randrange(7)),
+            origin_location=maybe(r.randrange(4)),
+            destination_location=maybe(r.randrange(4)),
+            route_id=maybe(r.randrange(4)),
+            fare_category=maybe(r.randrange(6)),
+            purse_amount=maybe(50 * r.randrange(4)),
+            contract_id=maybe(r.choice([1, 2, 3, 520])),
+            institution_id=maybe(7, 0.5),
+        )
+        for _ in range(taps)
+    ]
+    rows += r.sample(rows, taps // 4)
+    participants = list(enumerate(names)) + [(1, "Napa Twin")] * (seed % 2)
+    routes = [
+        (p, k, maybe(f"{p}-{k}", 0.3)) for p in range(6) for k in range(3) if r.random() < 0.8
+    ]
+    types = [
+        (names[p], name, r.choice(kinds))
+        for p, _, name in routes
+        if p < len(names) and r.random() < 0.8
+    ]
+    types += [(n, None, r.choice(kinds)) for n in names if r.random() < 0.6]
+    locations = [
+        (p, c, maybe(f"{p}@{c}", 0.1)) for p in range(6) for c in range(3) if r.random() < 0.8
+    ]
+    fares = [
+        (n, o, d, k, 2024, m, (n_ + 100 * (m == 7)) / 100 + 2)
+        for n_, n in enumerate(names)
+        for o in ["0", *sorted({x or "0" for p, _, x in locations if p == n_})]
+        for d in ["0", f"{n_}@1"]
+        for k in ["0", "Plain", *r.sample(kinds, 4)]
+        for m in (1, 7)
+    ]
+    return dict(
+        taps=rows,
+        participant=participants,
+        location=locations + locations[: seed % 3],
+        route=routes + routes[: seed % 2],
+        route_type=types,
+        coupon_contract=[(1,), (1,), (None,), (3,)],
+        contract_product=[(1, 0, 0), (1, 0, 1), (2, 9, 9), (520, 0, 1)],
+        product=[(0, 0, "A"), (0, 1, "B"), (0, 1, "C")],
+        fare_table=list(dict.fromkeys((*f[:6], _cents(f[6])) for f in fares)),
+        transfer_time_rules=[(x, r.choice(["15", "16", "60", "180"])) for x in r.sample(labels, 11)]
+        + [("Ferry", "30"), ("Ferry", "45")],
+        transfer_discount_rules=[
+            (a, b, r.choice(["0", "1", "2"])) for a in labels for b in labels if r.random() < 0.5
+        ],
+    )
+
+
+def _cents(value):
+    from decimal import Decimal
+
+    return Decimal(f"{value:.2f}")
+
+
+class Account:
+    """What the engine should make of a world."""
+
+    def __init__(self, world: dict[str, list[tuple]], since=datetime(2024, 1, 2)):
+        self.t = {
+            table: [dict(zip(columns, row)) for row in world.get(table, [])]
+            for table, columns in INPUT_COLUMNS.items()
+        }
+        names = ["Adult", "Senior", "RTC", "Youth"]
+        self.subset = [
+            x
+            | {
+                "fare_category_name": names[x["fare_category"]]
+                if x["fare_category"] in range(4)
+                else "Undefined"
+            }
+            for x in self.t["taps"]
+            if x["ride_start_time"] is not None and x["ride_start_time"] >= since
+        ]
+        self.ons = [x for x in self.subset if x["fare_transaction_sub_type"] in (1, 2, 4)]
+        self.offs = [x for x in self.subset if x["fare_transaction_sub_type"] in (3, 5)]
+
+    @staticmethod
+    def _same_ride(a, b):
+        return (
+            a["card_id"] is not None
+            and a["card_id"] == b["card_id"]
+            and a["ride_start_time"] == b["ride_start_time"]
+        )
+
+    def complete(self):
+        return [
+            off | {"fare_charged": self._charge(off, on["purse_amount"])}
+            for off in self.offs
+            for on in self.ons
+            if self._same_ride(off, on)
+        ]
+
+    @staticmethod
+    def _charge(off, on_amount=0):
+        if off["fare_transaction_sub_type"] == 5:
+            return off["purse_amount"]
+        if off["purse_amount"] is None or on_amount is None:
+            return None
+        return on_amount - off["purse_amount"]
+
+    def off_only(self):
+        return [
+            off | {"fare_charged": self._charge(off)}
+            for off in self.offs
+            if not any(self._same_ride(off, on) for on in self.ons)
+        ]
+
+    def on_only(self):
+        return [
+            on | {"fare_charged": on["purse_amount"]}
+            for on in self.ons
+            if not any(self._same_ride(off, on) for off in self.offs)
+        ]
+
+    def trips(self):
+        kinds = {
+            "Tag-off Only": self.off_only(),
+            "Tag-on Only": self.on_only(),
+            "Tag-on and Tag-off": self.complete(),
+        }
+        rows = [
+            x
+            | {
+                "trip_type": kind,
+                "fare_year": x["ride_start_time"].year,
+                "fare_month": 7 if x["ride_start_time"].month > 6 else 1,
+            }
+            for kind, found in kinds.items()
+            for x in found
+        ]
+        return [dict(key) for key in dict.fromkeys(tuple(x.items()) for x in rows)]
+
+    def _matches(self, table, **key):
+        found = [
+            x
+            for x in self.t[table]
+            if all(v is not None and x[k] == v for k, v in key.items())
+        ]
+        return found or [dict.fromkeys(INPUT_COLUMNS[table])]
+
+    def services(self, x):
+        """(participant name, route type row) a tap joins to."""
+        for p in self._matches("participant", participant_id=x["operator_id"]):
+            for route in self._matches(
+                "route", participant_id=x["operator_id"], route_id=x["route_id"]
+            ):
+                types = [
+                    t
+                    for t in self.t["route_type"]
+                    if p["participant_name"] is not None
+                    and t["participant_name"] == p["participant_name"]
+                    and t["route_name"] == route["route_name"]
+                ]
+                for rt in types or [dict(route_name=None, route_type=None)]:
+                    yield p["participant_name"], rt
+
+    @staticmethod
+    def label(participant, route_type):
+        for who, patterns, label in OPERATOR_LABELS:
+            for pattern in patterns if who == participant and route_type is not None else ():
+                if route_type == pattern or (
+                    pattern.endswith("*") and route_type.startswith(pattern[:-1])
+                ):
+                    return label
+        return participant
+
+    def places(self, x, column):
+        return [
+            y["location_name"]
+            for y in self._matches(
+                "location", participant_id=x["operator_id"], location_code=x[column]
+            )
+        ]
+
+    def transfer_choices(self):
+        """(card, first time) -> the rows any of which is right."""
+        choices = {}
+        for x in self.ons:
+            later = [
+                y["ride_start_time"]
+                for y in self.ons
+                if x["card_id"] is not None
+                and y["card_id"] == x["card_id"]
+                and y["ride_start_time"] > x["ride_start_time"]
+            ]
+            for participant, rt in self.services(x):
+                label = self.label(participant, rt["route_type"])
+                for rule in self.t["transfer_time_rules"]:
+                    if label is None or rule["operator_transferred_from"] != label:
+                        continue
+                    allowed = rule["allowable_transfer_time"]
+                    end = x["ride_start_time"] + timedelta(minutes=int(allowed))
+                    if later and min(later) < end:
+                        choices.setdefault((x["card_id"], x["ride_start_time"]), set()).update(
+                            (label, min(later), o or "Unknown", d or "Unknown", allowed)
+                            for o in self.places(x, "origin_location")
+                            for d in self.places(x, "destination_location")
+                        )
+        return choices
+
+    def enriched(self, transfers) -> Counter:
+        """Output rows, given transfers as dicts."""
+        out = Counter()
+        coupons = {x["id"] for x in self.t["coupon_contract"]} - {None}
+        by_second = {}
+        for m in transfers:
+            by_second.setdefault((m["card_id"], m["trip_2_tag_on_time"]), []).append(m)
+        for x in self.trips():
+            moves = by_second.get((x["card_id"], x["ride_start_time"]), [None])
+            for participant, rt in self.services(x):
+                label = self.label(participant, rt["route_type"])
+                for o in self.places(x, "origin_location"):
+                    for d in self.places(x, "destination_location"):
+                        fares = self._matches(
+                            "fare_table",
+                            operator=participant,
+                            origin_location=o or "0",
+                            destination_location=d or "0",
+                            route_type=rt["route_type"] or "0",
+                            fare_year=x["fare_year"],
+                            fare_month=x["fare_month"],
+                        )
+                        for product in self._products(x["contract_id"]):
+                            for fare in fares:
+                                for move in moves:
+                                    for row in self._rows(
+                                        x, rt, label, o, d, product, fare["adult_fare"], move, coupons
+                                    ):
+                                        out[row] += 1
+        return out
+
+    def _products(self, contract):
+        for mapped in self._matches("contract_product", contract_type=contract):
+            for product in self._matches(
+                "product", issuer_id=mapped["issuer_id"], product_type=mapped["product_type"]
+            ):
+                yield product["description"]
+
+    def _rows(self, x, rt, label, o, d, product, fare, move, coupons):
+        before = move and move["trip_1_operator"]
+        left_at = move and move["trip_1_destination_location_name"]
+        place = None
+        if move:
+            place = left_at if left_at != "Unknown" else (o or "Unknown")
+        known = fare if fare is not None else 0
+        for rule in self._matches(
+            "transfer_discount_rules",
+            operator_transferred_from=before,
+            operator_transferred_to=label,
+        ):
+            rate = rule["transfer_discount_available"]
+            discount = int(rate) * known if rate is not None else 0
+            yield (
+                x["card_id"],
+                x["ride_start_time"],
+                x["trip_type"],
+                x["fare_discount"],
+                x["fare_charged"],
+                x["fare_category_name"],
+                x["institution_id"],
+                label,
+                o or "Unknown",
+                d or "Unknown",
+                product,
+                int(x["contract_id"] in coupons),
+                int(x["contract_id"] == 520),
+                rt["route_name"] or "N/A",
+                rt["route_type"] or "N/A",
+                fare,
+                int(bool(move)),
+                before,
+                int(None not in (before, label) and before != label),
+                int(None not in (before, label) and before == label),
+                place,
+                move and move["trip_1_origin_location_name"],
+                left_at,
+                discount,
+                known - discount,
+            )
