@@ -67,14 +67,18 @@ def minutes(n: Column) -> Column:
     return F.make_dt_interval(zero, zero, n, F.lit(0).cast("decimal(18,6)"))
 
 
-def second_number(time: Column) -> Column:
-    """Whole wall-clock seconds since 1970, never through a time zone."""
-    days = F.unix_date(time.cast("date")).cast("bigint")
-    return ((days * 24 + F.hour(time)) * 60 + F.minute(time)) * 60 + F.second(time)
+def second_number(time: str) -> Column:
+    """Whole wall-clock seconds since 1970 of a column, never through a time zone."""
+    return F.expr(_second_number(time))
 
 
-def moment(time: Column, side: Column) -> Column:
+def moment(time: str, side: str) -> Column:
     """A number to order taps by: instants are at least 4 apart, and within an instant tag-ons
     (side 0) come 1 before tag-offs (side 1)."""
-    micros = (F.date_part(F.lit("SECOND"), time) * 1_000_000).cast("bigint") % 1_000_000
-    return (second_number(time) * 1_000_000 + micros) * 4 + side
+    micros = f"CAST(extract(SECOND FROM {time}) * 1000000 AS BIGINT) % 1000000"
+    return F.expr(f"(({_second_number(time)}) * 1000000 + {micros}) * 4 + {side}")
+
+
+def _second_number(time: str) -> str:
+    days = f"CAST(unix_date(CAST({time} AS DATE)) AS BIGINT)"
+    return f"(({days} * 24 + hour({time})) * 60 + minute({time})) * 60 + second({time})"

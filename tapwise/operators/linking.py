@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tapwise.functions import values as V
 from tapwise.functions.expressions import minutes, moment, second_number
-from tapwise.operators.lookups import Lookup, Lookups, attach_by_route
+from tapwise.operators.lookups import Lookup, Lookups, attach_by_route, measured_bytes
 from tapwise.schema import TAP_COLUMNS
 
 LINK_LOOKUPS = ("start", "unlisted_start", "one_location")
@@ -46,7 +46,7 @@ class Slices:
     def of(cls, taps: DataFrame, lookups: Lookups, slice_rows: int = SLICE_ROWS) -> Slices:
         """Measure the cards of `taps`, which have the column `side`; reads little more than card
         and time unless there is something to cut."""
-        cuts = lookups.measured(heavy_cards(taps, slice_rows), "card_id")
+        cuts = _measured(heavy_cards(taps, slice_rows), lookups, "card_id")
         if cuts is None:
             return cls()
         heavy_ons = cls(cuts).place(taps.where("side = 0")).where("_width IS NOT NULL")
@@ -57,14 +57,15 @@ class Slices:
         )
         by_slice = Window.partitionBy("card_id").orderBy("slice")
         before = last.select("card_id", "slice", F.lag("last").over(by_slice).alias("before"))
-        return cls(cuts, lookups.measured(before.where("before IS NOT NULL"), "card_id", "slice"))
+        before = before.where("before IS NOT NULL")
+        return cls(cuts, _measured(before, lookups, "card_id", "slice"))
 
     def place(self, taps: DataFrame) -> DataFrame:
         """Adds `slice`. Taps without a card pair with nothing, so they go anywhere, evenly."""
         number = F.lit(0).cast("bigint")
         if self.cuts is not None:
             taps = self.cuts.attach(taps, ["card_id"], _width="width", _start="start")
-            since_start = second_number(F.col("ride_start_time")) - F.col("_start")
+            since_start = second_number("ride_start_time") - F.col("_start")
             number = F.coalesce(F.floor(since_start / F.col("_width")), number)
         anywhere = F.xxhash64(*[c for c in TAP_COLUMNS if c in taps.columns])
         return taps.withColumn("slice", F.when(F.col("card_id").isNull(), anywhere).otherwise(number))
@@ -78,9 +79,20 @@ class Slices:
         return taps.withColumn("latest", F.coalesce("latest", "before"))
 
 
+def _measured(frame: DataFrame, lookups: Lookups, *keys: str) -> Lookup | None:
+    """A lookup made from taps, or None if it has no rows. It is written to the checkpoint folder,
+    if there is one, so that its taps aren't read again each time it is used."""
+    size = measured_bytes({"": frame})[""]
+    if not size:
+        return None
+    if frame.sparkSession.sparkContext.getCheckpointDir():
+        frame = frame.checkpoint()
+    return Lookup(frame, keys, size <= lookups.max_broadcast_bytes)
+
+
 def heavy_cards(taps: DataFrame, slice_rows: int) -> DataFrame:
     """Cards with more than `slice_rows` taps: second of their first tap, and seconds per slice."""
-    second = second_number(F.col("ride_start_time"))
+    second = second_number("ride_start_time")
     return (
         taps.where("card_id IS NOT NULL")
         .groupBy("card_id")
@@ -121,7 +133,7 @@ def bring_together(taps: DataFrame, lookups: Lookups, slices: Slices, *columns:
         slices.place(with_allowance(taps, lookups))
         .select(*columns, "minutes", "side", "slice")
         .repartition("card_id", "slice")
-        .withColumn("moment", moment(F.col("ride_start_time"), F.col("side")))
+        .withColumn("moment", moment("ride_start_time", "side"))
         .sortWithinPartitions(*BY_MOMENT)
     )
 

@@ -72,72 +72,56 @@ KEYS = {
 class Lookups:
     """The lookups named, measured together in one small job.
 
-    Small ones that are themselves joins are kept, so that the jobs to come don't repeat them;
-    `release` gives them up early.
+    With `keep`, those that are themselves joins are held in the executors' storage for the jobs to
+    come, until `release`. Don't keep them longer than the reference data stay as they are.
     """
 
     def __init__(
         self,
         tables: Tables,
-        names: Iterable[str] | None = None,
+        names: Iterable[str] = tuple(KEYS),
         max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+        keep: bool = False,
     ):
-        wanted = tuple(KEYS if names is None else names)
-        self._kept: list[DataFrame] = []
-        self._max_broadcast_bytes = max_broadcast_bytes
-        frames = {name: self._frame(name, tables) for name in wanted}
+        self.max_broadcast_bytes = max_broadcast_bytes
+        self._derived: dict[str, DataFrame] = {}
+        self._keep = keep
+        frames = {name: self._frame(name, tables) for name in names}
         sizes = measured_bytes(frames)
-        small = {name: size <= max_broadcast_bytes for name, size in sizes.items()}
-        self._by_name = {name: Lookup(frames[name], KEYS[name], small[name]) for name in wanted}
-        if not all(small.values()):
+        self._by_name = {
+            name: Lookup(frame, KEYS[name], sizes[name] <= max_broadcast_bytes)
+            for name, frame in frames.items()
+        }
+        if max(sizes.values()) > max_broadcast_bytes:
             self.release()
 
+    def __getitem__(self, name: str) -> Lookup:
+        return self._by_name[name]
+
+    def release(self) -> None:
+        if self._keep:
+            for frame in self._derived.values():
+                frame.unpersist()
+
     def _frame(self, name: str, tables: Tables) -> DataFrame:
         match name:
-            case "service":
-                return self._services(tables).where("listed")
-            case "unlisted_service":
-                return self._services(tables).where("NOT listed")
-            case "start":
-                return self._keep(best_starts(self._services(tables).where("listed"), *KEYS[name]))
-            case "unlisted_start":
-                return self._keep(
-                    best_starts(self._services(tables).where("NOT listed"), *KEYS[name])
-                )
+            case "service" | "start":
+                return self._derive(name, tables).where("listed")
+            case "unlisted_service" | "unlisted_start":
+                return self._derive(name.removeprefix("unlisted_"), tables).where("NOT listed")
             case "location":
                 return tables.location
-            case "one_location":
-                return self._keep(one_location(tables))
-            case "contract_product":
-                return self._keep(contract_products(tables))
-            case "coupon":
-                return self._keep(coupons(tables))
             case "fare":
                 return tables.fare_table
             case "discount":
                 return tables.transfer_discount_rules
-        raise KeyError(name)
+        return self._derive(name, tables)
 
-    def measured(self, frame: DataFrame, *keys: str) -> Lookup | None:
-        """A lookup that isn't reference data, or None if it has no rows."""
-        size = measured_bytes({"": self._keep(frame)})[""]
-        return Lookup(frame, keys, size <= self._max_broadcast_bytes) if size else None
-
-    def _services(self, tables: Tables) -> DataFrame:
-        if not self._kept or "listed" not in self._kept[0].columns:
-            self._kept.insert(0, services(tables).persist())
-        return self._kept[0]
-
-    def _keep(self, frame: DataFrame) -> DataFrame:
-        self._kept.append(frame.persist())
-        return frame
-
-    def __getitem__(self, name: str) -> Lookup:
-        return self._by_name[name]
-
-    def release(self) -> None:
-        for frame in self._kept:
-            frame.unpersist()
+    def _derive(self, name: str, tables: Tables) -> DataFrame:
+        if name not in self._derived:
+            frame = _DERIVED[name](tables)
+            self._derived[name] = frame.persist() if self._keep else frame
+        return self._derived[name]
 
 
 def measured_bytes(frames: dict[str, DataFrame]) -> dict[str, int]:
@@ -170,40 +154,25 @@ def measured_bytes(frames: dict[str, DataFrame]) -> dict[str, int]:
 
 
 def services(tables: Tables) -> DataFrame:
-    """Each listed route of an operator, and a row per operator for rides on no listed route:
-    its names, type, label, and how long a transfer from it may take.
+    """Each listed route of an operator, and a row per operator for rides on no listed route: its
+    names, type and label.
 
     A ride without a route name takes the participant's route type that has none either.
     """
-    routes = tables.route.select(
-        F.col("participant_id").alias("operator_id"),
-        "route_id",
-        F.col("route_name").alias("_route"),
-        F.lit(True).alias("listed"),
-    )
-    unlisted = (
-        tables.participant.select(F.col("participant_id").alias("operator_id"))
-        .distinct()
-        .select("operator_id", F.lit(None), F.lit(None), F.lit(False))
-    )
-    participants = tables.participant.select(
-        F.col("participant_id").alias("operator_id"), "participant_name"
+    participants = tables.participant.selectExpr("participant_id AS operator_id", "participant_name")
+    listed = tables.route.selectExpr(
+        "participant_id AS operator_id", "route_id", "route_name AS _route", "true AS listed"
+    ).join(participants, "operator_id", "left")
+    unlisted = participants.selectExpr(
+        "operator_id",
+        "CAST(NULL AS INT) AS route_id",
+        "CAST(NULL AS STRING) AS _route",
+        "false AS listed",
+        "participant_name",
     )
     types = tables.route_type.withColumnRenamed("participant_name", "_participant")
-    longest_rule = (
-        tables.transfer_time_rules.select(
-            F.col("operator_transferred_from").alias("operator_name"),
-            F.struct(
-                F.col("allowable_transfer_time").cast("int").alias("minutes"),
-                "allowable_transfer_time",
-            ).alias("rule"),
-        )
-        .groupBy("operator_name")
-        .agg(F.max("rule").alias("rule"))
-    )
     return (
-        routes.union(unlisted)
-        .join(participants, "operator_id", "left")
+        listed.union(unlisted)
         .join(
             types,
             (F.col("participant_name") == F.col("_participant"))
@@ -211,28 +180,28 @@ def services(tables: Tables) -> DataFrame:
             "left",
         )
         .withColumn("operator_name", operator_label(F.col("participant_name"), F.col("route_type")))
-        .join(longest_rule, "operator_name", "left")
-        .select(
-            "operator_id",
-            "route_id",
-            "listed",
-            "participant_name",
-            "route_name",
-            "route_type",
-            "operator_name",
-            "rule.minutes",
-            "rule.allowable_transfer_time",
-        )
+        .drop("_route", "_participant")
     )
 
 
-def best_starts(service: DataFrame, *keys: str) -> DataFrame:
-    """One row per key: label and allowance of a ride as the first of a transfer.
+def starts(tables: Tables) -> DataFrame:
+    """Per key, the label and allowance of a ride as the first of a transfer.
 
     Where duplicate reference rows leave a choice, the longest allowance wins.
     """
-    best = F.max(F.struct("minutes", "allowable_transfer_time", "operator_name", "listed"))
-    return service.groupBy(*keys).agg(best.alias("best")).select(*keys, "best.*")
+    rules = tables.transfer_time_rules.selectExpr(
+        "operator_transferred_from AS operator_name",
+        "CAST(allowable_transfer_time AS INT) AS minutes",
+        "allowable_transfer_time",
+    )
+    best = F.max(F.struct("minutes", "allowable_transfer_time", "operator_name"))
+    return (
+        services(tables)
+        .join(rules, "operator_name", "left")
+        .groupBy("operator_id", "route_id", "listed")
+        .agg(best.alias("best"))
+        .select("operator_id", "route_id", "listed", "best.*")
+    )
 
 
 def one_location(tables: Tables) -> DataFrame:
@@ -252,6 +221,15 @@ def coupons(tables: Tables) -> DataFrame:
     return tables.coupon_contract.select("id").distinct().withColumn("is_coupon", F.lit(1))
 
 
+_DERIVED = {
+    "service": services,
+    "start": starts,
+    "one_location": one_location,
+    "contract_product": contract_products,
+    "coupon": coupons,
+}
+
+
 def attach_by_route(
     rows: DataFrame,
     listed: Lookup,

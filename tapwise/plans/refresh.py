@@ -9,6 +9,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame
 
 from tapwise.functions import values as V
+from tapwise.operators.lookups import Lookups
 from tapwise.operators.periods import all_period_trips
 from tapwise.plans.trips import enriched_trips
 from tapwise.sources.tables import Tables
@@ -30,12 +31,17 @@ def refresh(
     Versions go under `folder`, which must be shared storage, or else to the warehouse.
     """
     spark = tables.taps.sparkSession
+    lookups = Lookups(tables, keep=True)
     stamp = f"{datetime.now(UTC):%Y%m%d%H%M%S%f}"
     version = f"{target}__{stamp}_{uuid.uuid4().hex[:8]}"
-    writer = all_period_trips([*history, enriched_trips(tables, since)]).write.format("parquet")
-    if folder is not None:
-        writer = writer.option("path", f"{folder.rstrip('/')}/{version}")
-    writer.saveAsTable(version)
+    try:
+        newest = enriched_trips(tables, since, lookups)
+        writer = all_period_trips([*history, newest]).write.format("parquet")
+        if folder is not None:
+            writer = writer.option("path", f"{folder.rstrip('/')}/{version}")
+        writer.saveAsTable(version)
+    finally:
+        lookups.release()
     spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {version}")
     for old in _versions(spark, target)[:-2]:
         spark.sql(f"DROP TABLE IF EXISTS {old}")

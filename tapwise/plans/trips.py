@@ -146,9 +146,7 @@ def enriched_trips(
     lookups = lookups or Lookups(tables)
     subset = fare_tx_subset(tables.taps, since)
     linked = trips_with_context(subset, tables, lookups, slice_rows)
-    return describe_trips(linked, lookups).select(
-        *OUTPUT_COLUMNS
-    )
+    return describe_trips(linked, lookups).select(*OUTPUT_COLUMNS)
 
 
 def enrich(

@@ -6,9 +6,12 @@ taps grow with `events`. The reference data is small and fixed, as it is in life
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapwise.operators.lookups import Lookups
 from tapwise.sources.tables import Tables
 
 PARTICIPANTS = (
@@ -144,44 +147,37 @@ def fare_types() -> list[tuple[str, str]]:
 
 
 def taps(events: DataFrame) -> DataFrame:
-    """Taps from events, read once: an event may be a tag-on with its tag-off."""
-    event, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    cents = F.round(F.col("value") * 100).cast("bigint")
-
-    def tap(sub_type, amount):
-        return F.struct(sub_type.cast("int").alias("sub_type"), amount.alias("amount"))
-
-    lone_off = F.lit(3) + 2 * (event % 2)
-    first = (
-        F.when(kind == "error", lone_off)
-        .when(kind == "click", F.lit(2))
-        .when(kind == "purchase", F.lit(4))
-        .when(event % 97 == 0, F.lit(9))
-        .otherwise(F.lit(1))
-    )
-    off = F.when(kind == "click", F.lit(3)).otherwise(F.lit(5))
-    # One such ride in five ends without a tag-off.
-    ends = kind.isin("click", "purchase") & (event % 5 != 0)
-    tag_on = tap(first, F.col("cents"))
-    tag_off = tap(off, F.col("cents") % 300)
-    # Odd cards ride in the second half of the year.
-    later = F.when(user % 2 == 1, F.expr("INTERVAL '182' DAY")).otherwise(F.expr("INTERVAL '0' DAY"))
+    """Taps from events, read once: an event may be a tag-on with its tag-off.
+
+    One ride in five that starts with a click or purchase ends without a tag-off. Odd cards ride in
+    the second half of the year.
+    """
+    first = """named_struct('code',
+        CASE WHEN event_type = 'error' THEN 3 + 2 * (event_id % 2)
+             WHEN event_type = 'click' THEN 2
+             WHEN event_type = 'purchase' THEN 4
+             WHEN event_id % 97 = 0 THEN 9
+             ELSE 1 END, 'amount', cents)"""
+    last = "named_struct('code', if(event_type = 'click', 3L, 5L), 'amount', cents % 300)"
+    ends = "event_type IN ('click', 'purchase') AND event_id % 5 <> 0"
     return (
-        events.withColumn("cents", cents)
-        .withColumn("tap", F.explode(F.when(ends, F.array(tag_on, tag_off)).otherwise(F.array(tag_on))))
-        .select(
-            user.alias("card_id"),
-            (F.col("ts") + later).alias("ride_start_time"),
-            ((event * 7 + user) % 9).cast("int").alias("operator_id"),
-            ((event * 5) % 7).cast("int").alias("origin_location"),
-            ((event * 3 + 1) % 7).cast("int").alias("destination_location"),
-            F.col("tap.sub_type").alias("fare_transaction_sub_type"),
-            ((event * 11) % 6).cast("int").alias("route_id"),
-            (user % 5).cast("int").alias("fare_category"),
-            ((event % 3) * 25).cast("bigint").alias("fare_discount"),
-            F.col("tap.amount").alias("purse_amount"),
-            F.when(event % 10 == 0, F.lit(520)).otherwise((event % 23).cast("int")).alias("contract_id"),
-            F.when(user % 11 != 10, (user % 11).cast("int")).alias("institution_id"),
+        events.selectExpr("*", "CAST(round(value * 100) AS BIGINT) AS cents")
+        .selectExpr(
+            "*", f"explode(CASE WHEN {ends} THEN array({first}, {last}) ELSE array({first}) END) AS tap"
+        )
+        .selectExpr(
+            "user_id AS card_id",
+            "ts + if(user_id % 2 = 1, INTERVAL '182' DAY, INTERVAL '0' DAY) AS ride_start_time",
+            "CAST((event_id * 7 + user_id) % 9 AS INT) AS operator_id",
+            "CAST((event_id * 5) % 7 AS INT) AS origin_location",
+            "CAST((event_id * 3 + 1) % 7 AS INT) AS destination_location",
+            "CAST(tap.code AS INT) AS fare_transaction_sub_type",
+            "CAST((event_id * 11) % 6 AS INT) AS route_id",
+            "CAST(user_id % 5 AS INT) AS fare_category",
+            "(event_id % 3) * 25 AS fare_discount",
+            "tap.amount AS purse_amount",
+            "CAST(if(event_id % 10 = 0, 520, event_id % 23) AS INT) AS contract_id",
+            "CAST(nullif(user_id % 11, 10) AS INT) AS institution_id",
         )
     )
 
@@ -212,11 +208,22 @@ def fares(spark: SparkSession) -> DataFrame:
     )
 
 
-def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Inputs from the events in `sf_dir`."""
+@lru_cache(maxsize=1)
+def reference_tables(spark: SparkSession) -> dict[str, DataFrame]:
+    """Reference data, defined once per session."""
     fixed = {
         table: spark.sql(values_sql(columns, rows)) for table, (columns, rows) in fixed_rows().items()
     }
-    return Tables(
-        taps=taps(spark.read.parquet(f"{sf_dir}/events.parquet")), fare_table=fares(spark), **fixed
-    )
+    return fixed | {"fare_table": fares(spark)}
+
+
+def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """Inputs from the events in `sf_dir`."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return Tables(taps=taps(events), **reference_tables(spark))
+
+
+@lru_cache(maxsize=1)
+def sample_lookups(spark: SparkSession) -> Lookups:
+    """All lookups, made once per session; they don't depend on the taps."""
+    return Lookups(Tables(taps=None, **reference_tables(spark)), keep=True)

@@ -33,3 +33,11 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return f"{TESTDATA}/sf0.001"
+
+
+@pytest.fixture
+def tiny(spark):
+    """For tests on a handful of rows: compiling a plan would take longer than running it."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")

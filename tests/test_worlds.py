@@ -11,6 +11,8 @@ from tapwise.operators.transfers import transfers
 from tapwise.plans import trips
 from tapwise.schema import CHARGED_COLUMNS, TRIP_COLUMNS
 
+pytestmark = pytest.mark.usefixtures("tiny")
+
 
 def rows(frame):
     return Counter(tuple(r) for r in frame.collect())
@@ -20,7 +22,7 @@ def told(found, columns):
     return Counter(tuple(x[c] for c in columns) for x in found)
 
 
-@pytest.fixture(params=range(4), scope="module")
+@pytest.fixture(params=range(3), scope="module")
 def case(request, spark):
     world = random_world(request.param)
     return Account(world), make_tables(spark, **world)
@@ -68,8 +70,9 @@ def test_transfers_and_enrichment(case, slice_rows):
     lookups.release()
 
 
-def test_lookups_too_big_to_broadcast(case):
-    account, tables = case
+def test_lookups_too_big_to_broadcast(spark):
+    world = random_world(7)
+    account, tables = Account(world), make_tables(spark, **world)
     ons = taps.tag_ons(taps.fare_tx_subset(tables.taps))
     big = Lookups(tables, max_broadcast_bytes=0)
     found = [r.asDict() for r in transfers(ons, tables, big, 7).collect()]
