@@ -9,7 +9,9 @@ import random
 from collections import Counter
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tapwise.functions.values import OPERATOR_LABELS
 from tapwise.schema import INPUT_COLUMNS
@@ -47,9 +49,14 @@ def schema_of(table: str) -> T.StructType:
 
 def make_tables(spark, **rows) -> Tables:
     """Tables from lists of tuples; those not given are empty."""
-    return Tables(
-        **{t: spark.createDataFrame(rows.get(t, []), schema_of(t)) for t in INPUT_COLUMNS}
-    )
+
+    def table(name: str, columns: tuple[str, ...]):
+        schema = schema_of(name)
+        values = zip(*rows[name]) if rows.get(name) else [[]] * len(columns)
+        arrays = [pa.array(v, t) for v, t in zip(values, to_arrow_schema(schema).types)]
+        return spark.createDataFrame(pa.table(arrays, names=columns), schema)
+
+    return Tables(**{name: table(name, columns) for name, columns in INPUT_COLUMNS.items()})
 
 
 NOON = datetime(2024, 3, 10, 0, 30)
