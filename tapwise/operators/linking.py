@@ -42,14 +42,18 @@ class Slices:
     cuts: Lookup | None = None
     before: Lookup | None = None
 
+    @classmethod
+    def measure(cls, taps: DataFrame, slice_rows: int, max_broadcast_bytes: int) -> Slices:
+        """Only how cards are cut. Reads card and time of the taps."""
+        return cls(_measured(heavy_cards(taps, slice_rows), max_broadcast_bytes, "card_id"))
+
     @classmethod
     def of(cls, taps: DataFrame, lookups: Lookups, slice_rows: int = SLICE_ROWS) -> Slices:
-        """Measure the cards of `taps`, which have the column `side`; reads little more than card
-        and time unless there is something to cut."""
-        cuts = _measured(heavy_cards(taps, slice_rows), lookups, "card_id")
-        if cuts is None:
-            return cls()
-        heavy_ons = cls(cuts).place(taps.where("side = 0")).where("_width IS NOT NULL")
+        """Both; `taps` have the column `side`. The second reads the heavy cards' taps only."""
+        cut = cls.measure(taps, slice_rows, lookups.max_broadcast_bytes)
+        if cut.cuts is None:
+            return cut
+        heavy_ons = cut.place(taps.where("side = 0")).where("_width IS NOT NULL")
         last = (
             with_allowance(heavy_ons, lookups)
             .groupBy("card_id", "slice")
@@ -58,7 +62,7 @@ class Slices:
         by_slice = Window.partitionBy("card_id").orderBy("slice")
         before = last.select("card_id", "slice", F.lag("last").over(by_slice).alias("before"))
         before = before.where("before IS NOT NULL")
-        return cls(cuts, _measured(before, lookups, "card_id", "slice"))
+        return cls(cut.cuts, _measured(before, lookups.max_broadcast_bytes, "card_id", "slice"))
 
     def place(self, taps: DataFrame) -> DataFrame:
         """Adds `slice`. Taps without a card pair with nothing, so they go anywhere, evenly."""
@@ -79,7 +83,7 @@ class Slices:
         return taps.withColumn("latest", F.coalesce("latest", "before"))
 
 
-def _measured(frame: DataFrame, lookups: Lookups, *keys: str) -> Lookup | None:
+def _measured(frame: DataFrame, max_broadcast_bytes: int, *keys: str) -> Lookup | None:
     """A lookup made from taps, or None if it has no rows. It is written to the checkpoint folder,
     if there is one, so that its taps aren't read again each time it is used."""
     size = measured_bytes({"": frame})[""]
@@ -87,15 +91,15 @@ def _measured(frame: DataFrame, lookups: Lookups, *keys: str) -> Lookup | None:
         return None
     if frame.sparkSession.sparkContext.getCheckpointDir():
         frame = frame.checkpoint()
-    return Lookup(frame, keys, size <= lookups.max_broadcast_bytes)
+    return Lookup(frame, keys, size <= max_broadcast_bytes)
 
 
 def heavy_cards(taps: DataFrame, slice_rows: int) -> DataFrame:
-    """Cards with more than `slice_rows` taps: second of their first tap, and seconds per slice."""
+    """Cards with more than `slice_rows` taps: second of their first tap, and seconds per slice.
+    Taps without a card count as one card's; they are never cut, as nothing equals NULL."""
     second = second_number("ride_start_time")
     return (
-        taps.where("card_id IS NOT NULL")
-        .groupBy("card_id")
+        taps.groupBy("card_id")
         .agg(
             F.count(F.lit(1)).alias("taps"),
             F.min(second).alias("start"),
@@ -128,16 +132,26 @@ BY_MOMENT = ("card_id", "slice", "moment")
 
 
 def bring_together(taps: DataFrame, lookups: Lookups, slices: Slices, *columns: str) -> DataFrame:
-    """`columns` of the taps, with the taps of a card and slice in one place and in time order."""
+    """`columns` of the taps without copies, a card and slice in one place and in time order."""
+    taps = shuffle_distinct(slices.place(taps).select(*columns, "side", "slice"), slices, "slice")
     return (
-        slices.place(with_allowance(taps, lookups))
-        .select(*columns, "minutes", "side", "slice")
-        .repartition("card_id", "slice")
-        .withColumn("moment", moment("ride_start_time", "side"))
+        with_allowance(taps, lookups)
+        .select(*columns, "side", "slice", "minutes", moment("ride_start_time", "side").alias("moment"))
         .sortWithinPartitions(*BY_MOMENT)
     )
 
 
+def shuffle_distinct(taps: DataFrame, slices: Slices, *more: str) -> DataFrame:
+    """Taps without copies, placed by card and `more`.
+
+    One shuffle does both if no card is heavy. If one is, its taps may be copies of one another; so
+    copies are dropped within each task first, at the price of a shuffle by whole rows.
+    """
+    if slices.cuts is not None:
+        return taps.distinct().repartition("card_id", *more)
+    return taps.repartition("card_id", *more).distinct()
+
+
 def latest_tag_on(card: WindowSpec) -> Column:
     """The last tag-on strictly before a row, looking back along `moment`."""
     is_tag_on = (F.col("side") == 0) & F.col("card_id").isNotNull()

@@ -42,7 +42,7 @@ def transfers(
     lookups = lookups or Lookups(tables, LINK_LOOKUPS)
     taps = ons.select(*_COLUMNS).where("card_id IS NOT NULL").withColumn("side", F.lit(0))
     slices = Slices.of(taps, lookups, slice_rows)
-    together = bring_together(taps.distinct(), lookups, slices, *_COLUMNS)
+    together = bring_together(taps, lookups, slices, *_COLUMNS)
     card = Window.partitionBy("card_id", "slice").orderBy("moment")
     looked_back = slices.attach_before(together.withColumn("latest", latest_tag_on(card)))
     # Taps at one instant have the same transfer. They are in one place, so this moves nothing.

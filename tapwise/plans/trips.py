@@ -1,8 +1,8 @@
 """Trips and enriched trips in one pass over the taps.
 
 Both pair tag-offs with tag-ons, which as joins would read and shuffle the taps once per side and
-kind of trip. Here they are shuffled twice in all: once to drop copies, combined map-side, and once
-to bring a card's taps together. Pairing and transfers are then windows over the same sorted rows.
+kind of trip. Here they are shuffled once, to bring a card's taps together, or twice if some card is
+heavy. Dropping copies, pairing and transfers all work on the rows so placed.
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ from tapwise.operators.linking import (
     bring_together,
     latest_tag_on,
     name_first_tap,
+    shuffle_distinct,
     within_allowance,
 )
-from tapwise.operators.lookups import Lookups
+from tapwise.operators.lookups import MAX_BROADCAST_BYTES, Lookups
 from tapwise.operators.pairing import with_fare_period
 from tapwise.operators.taps import fare_tx_subset
 from tapwise.schema import OUTPUT_COLUMNS, TAP_COLUMNS, TRIP_COLUMNS
@@ -29,7 +30,10 @@ from tapwise.sources.tables import Tables
 
 
 def known_taps(subset: DataFrame) -> DataFrame:
-    """Tag-ons and tag-offs of a subset. Adds `side`: 0 for a tag-on, 1 for a tag-off."""
+    """Tag-ons and tag-offs of a subset. Adds `side`: 0 for a tag-on, 1 for a tag-off.
+
+    The rider category's name follows from its code, so it is left out until the end.
+    """
     code = F.col("fare_transaction_sub_type")
     return (
         subset.select(*TAP_COLUMNS)
@@ -38,15 +42,6 @@ def known_taps(subset: DataFrame) -> DataFrame:
     )
 
 
-def distinct_taps(subset: DataFrame) -> DataFrame:
-    """Known taps without copies, which would make no further trips.
-
-    Copies are dropped within each task before the shuffle. The rider category's name follows from
-    its code, so it is left out until the end.
-    """
-    return known_taps(subset).distinct()
-
-
 def _finish(trips: DataFrame, *more: str) -> DataFrame:
     trips = trips.withColumn("fare_category_name", fare_category_name(F.col("fare_category")))
     return with_fare_period(trips).select(*TRIP_COLUMNS, *more)
@@ -107,10 +102,12 @@ def _trip_type(is_on: Column, paired: Column) -> Column:
     )
 
 
-def trips(subset: DataFrame) -> DataFrame:
+def trips(subset: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """All trips of a subset of taps."""
     keys = ("card_id", "ride_start_time")
-    placed = distinct_taps(subset).repartition(*keys).sortWithinPartitions(*keys, "side")
+    taps = known_taps(subset)
+    slices = Slices.measure(taps, slice_rows, MAX_BROADCAST_BYTES)
+    placed = shuffle_distinct(taps, slices, "ride_start_time").sortWithinPartitions(*keys, "side")
     ride = Window.partitionBy(*keys).orderBy("side")
     return _finish(pair_taps(placed.withColumns(partners(ride))))
 
@@ -123,8 +120,9 @@ def trips_with_context(
 ) -> DataFrame:
     """All trips, each with the transfer that led to it."""
     lookups = lookups or Lookups(tables)
-    slices = Slices.of(known_taps(subset), lookups, slice_rows)
-    together = bring_together(distinct_taps(subset), lookups, slices, *TAP_COLUMNS)
+    taps = known_taps(subset)
+    slices = Slices.of(taps, lookups, slice_rows)
+    together = bring_together(taps, lookups, slices, *TAP_COLUMNS)
     card = Window.partitionBy("card_id", "slice").orderBy("moment")
     linked = slices.attach_before(
         together.withColumns({"latest": latest_tag_on(card), **partners(card)})

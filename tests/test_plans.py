@@ -56,14 +56,15 @@ def test_zoned_times_become_wall_clock(spark):
     assert str(first.ride_start_time) == "2024-02-01 08:00:00"
 
 
-def test_trips_shuffle_twice(spark, sf_dir, capsys):
+@pytest.mark.parametrize(("slice_rows", "shuffles"), [(1_000_000, 1), (20, 2)])
+def test_taps_are_shuffled_once_unless_a_card_is_heavy(spark, sf_dir, capsys, slice_rows, shuffles):
     tables = sample_tables(spark, sf_dir)
     subset = taps.fare_tx_subset(tables.taps)
-    linked = trips.trips_with_context(subset, tables, sample_lookups(spark))
-    for frame in (trips.trips(subset), linked):
+    linked = trips.trips_with_context(subset, tables, sample_lookups(spark), slice_rows)
+    for frame in (trips.trips(subset, slice_rows), linked):
         frame.explain()
         plan = capsys.readouterr().out
-        assert len(re.findall(r"Exchange hashpartitioning\(.*card_id#", plan)) == 2
+        assert len(re.findall(r"Exchange hashpartitioning\(.*card_id#", plan)) == shuffles
         assert len(re.findall(r"Sort \[card_id#", plan)) == 1
         assert "SortMergeJoin" not in plan
 

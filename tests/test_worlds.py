@@ -41,6 +41,7 @@ def test_pairing(case):
     want = told(account.trips(), TRIP_COLUMNS)
     assert rows(pairing.union_trips(complete, off_only, on_only)) == want
     assert rows(trips.trips(subset)) == want
+    assert rows(trips.trips(subset, slice_rows=7)) == want
 
 
 @pytest.mark.parametrize("slice_rows", [1_000_000, 7])
