@@ -18,6 +18,7 @@ from tapwise.functions.expressions import operator_label
 from tapwise.sources.tables import Tables
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+KEPT_PARTITIONS = 8
 # What a row costs in a broadcast hash table beyond its column values.
 ROW_OVERHEAD_BYTES = 64
 
@@ -73,7 +74,8 @@ class Lookups:
     """The lookups named, measured together in one small job.
 
     With `keep`, those that are themselves joins are held in the executors' storage for the jobs to
-    come, until `release`. Don't keep them longer than the reference data stay as they are.
+    come, until `release`, unless some lookup is too big to broadcast. Don't keep them longer than
+    the reference data stay as they are.
     """
 
     def __init__(
@@ -88,12 +90,14 @@ class Lookups:
         self._keep = keep
         frames = {name: self._frame(name, tables) for name in names}
         sizes = measured_bytes(frames)
+        if keep and max(sizes.values()) > max_broadcast_bytes:
+            self.release()
+            self._keep, self._derived = False, {}
+            frames = {name: self._frame(name, tables) for name in names}
         self._by_name = {
             name: Lookup(frame, KEYS[name], sizes[name] <= max_broadcast_bytes)
             for name, frame in frames.items()
         }
-        if max(sizes.values()) > max_broadcast_bytes:
-            self.release()
 
     def __getitem__(self, name: str) -> Lookup:
         return self._by_name[name]
@@ -120,7 +124,8 @@ class Lookups:
     def _derive(self, name: str, tables: Tables) -> DataFrame:
         if name not in self._derived:
             frame = _DERIVED[name](tables)
-            self._derived[name] = frame.persist() if self._keep else frame
+            # What is kept keeps its partitions, most of them empty if shuffles make many.
+            self._derived[name] = frame.coalesce(KEPT_PARTITIONS).persist() if self._keep else frame
         return self._derived[name]
 
 
