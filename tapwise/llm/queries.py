@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapwise.llm import chat, lm_score, mixing, packing, simhash, token_files
+from tapwise.llm import chat, language, lm_score, mixing, multi_index, packing, quality, simhash, token_files, top_k
 from tapwise.llm.sql import MIX_SQL
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,6 +78,31 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    space = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, space).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    field = language.learn(docs)
+    return language.identify(docs.select("doc_id", "text"), field).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").where(top_k.sound("embedding"))
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * top_k.SCALE))
+    whole = vectors.select("vec_id", scaled.alias("v"))
+    return top_k.top_k(whole.where("vec_id % 20 = 0"), whole, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -85,6 +110,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lm_score": op4_lm_score,
     "op5_chat_format": op5_chat_format,
     "op6_simhash": op6_simhash,
+    "op7_multi_index": op7_multi_index,
+    "op8_quality_votes": op8_quality_votes,
+    "op9_language_crf": op9_language_crf,
+    "op10_top_k": op10_top_k,
 }
 
 ORACLES: dict[str, str] = {"op1_mix_sources": MIX_SQL}

@@ -38,3 +38,11 @@ def stored(rows: DataFrame) -> DataFrame:
     path = new_path(spark)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def fresh(rows: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until no column of `rows` is called that."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -10,10 +10,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapwise.llm.components import components
 from tapwise.llm.runs import starts, whole_runs
-from tapwise.llm.scratch import stored
+from tapwise.llm.scratch import fresh, stored
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -157,11 +158,48 @@ def near_duplicates(
     gives no rows. Other columns of `docs` are not used.
     """
     rows = stored(fingerprints(docs, shingle_words))
-    own = stored(rows.groupBy("bits").agg(F.min("doc_id").alias("least")))
-    roots = components(links(own.select("bits"), max_bits, blocks, lot))
-    named = own.join(roots, own["bits"] == roots["node"], "left").withColumn("root", F.coalesce("root", "bits"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(named.select("bits", "root").join(least, "root").select("bits", "component_id"))
+    own = rows.groupBy("bits").agg(F.min("doc_id").alias("least"))
+    roots = _roots_of(own, max_bits, blocks, lot)
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = stored(roots.join(least, "root").select("bits", "component_id"))
     return rows.join(named, "bits").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def _roots_of(own: DataFrame, max_bits: int, blocks: int, lot: int) -> DataFrame:
+    """`own`, one row for each fingerprint, with `root`: the least fingerprint of its component."""
+    own = stored(own)
+    roots = components(links(own.select("bits"), max_bits, blocks, lot))
+    return own.join(roots, own["bits"] == roots["node"], "left").drop("node").withColumn("root", F.coalesce("root", "bits"))
+
+
+def keep_one(
+    docs: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    blocks: int = BLOCKS,
+    lot: int = LOT,
+) -> DataFrame:
+    """Of each component of linked documents one row of `docs`, with all its columns.
+
+    Links are those of `near_duplicates`. The row with the smallest doc_id stays (a null one only
+    if there is no other), and of rows that share it any one.
+    """
+    bits, row = fresh(docs, "bits"), fresh(docs, "row")
+    place = docs.columns.index("text")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [fingerprint(t, shingle_words) for t in batch.column(place).to_pylist()]
+            column = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, bits])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(bits, T.LongType())])
+    # Rows are numbered in the stored table, so a row's number stays the same from here on.
+    staged = stored(docs.mapInArrow(hashed, schema).withColumn(row, F.monotonically_increasing_id()))
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col(row).alias("row"))
+    own = staged.groupBy(F.col(bits).alias("bits")).agg(F.min(first).alias("first"))
+    stay = _roots_of(own, max_bits, blocks, lot).groupBy("root").agg(F.min("first").alias("first"))
+    stay = stored(stay.select(F.col("first.row").alias(row)))
+    return staged.join(stay, row, "left_semi").select(*[F.col(f"`{name}`") for name in docs.columns])

@@ -14,14 +14,14 @@ CACHED_PIECES = 400_000
 CACHED_CHARS = 64
 SLICE_CHARS = 4_000_000
 
-# Letters that stay one character under every Unicode normal form and never join across a cut.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+# Letters that stay one letter when composed and lower-cased (İ becomes two characters).
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 # A space that is not alone between two words.
 _ODD_GAP = re.compile(r"^ | $|\s | \s")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 # Inside a word: runs of letters and runs of the rest, where that is how the tokenizers cut.
 _PIECES = re.compile(f" ?[{_LETTERS}]+| ?[^{_LETTERS} ]+")
-_WHOLE = re.compile(rf"[^\x00-\x7f{_LETTERS}]|'|\s\s")
+_WHOLE = re.compile(rf"[^\x00-\x7f{_LETTERS}]|'|\s\s|(?<=[\s\S]) | $")
 
 _encoders: dict[str, Encoder] = {}
 
