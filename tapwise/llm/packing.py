@@ -86,7 +86,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
             rows: list[tuple] = []
-            for key, found in zip(keys, encode(batch.column("text").to_pylist())):
+            for key, found in zip(keys, encode(batch.column("text"))):
                 ids = found + end
                 first = len(ids) // 4 % capacity * 4 or 4 * capacity
                 bounds = [0, *range(first, len(ids) + 1, 4 * capacity)]

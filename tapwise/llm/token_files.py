@@ -181,7 +181,7 @@ def write_token_files(
                 out = store.open_output_stream(draft)
                 writer = FrameWriter(out, frame_bytes)
             keys = batch.column("doc_id").to_pylist()
-            for key, ids in zip(keys, encode(batch.column("text").to_pylist())):
+            for key, ids in zip(keys, encode(batch.column("text"))):
                 writer.add(key, ids + end)
         if writer is None:
             return

@@ -1,27 +1,33 @@
-"""Token ids by the tokenizers library, with a bounded cache of frequent words in each worker."""
+"""Token ids by the tokenizers library, with a bounded cache of pieces of text in each worker."""
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-# Words and pieces kept by a worker; what goes beyond is encoded again each time.
-CACHED_WORDS = 300_000
-CACHED_PIECES = 400_000
-CACHED_CHARS = 64
-SLICE_CHARS = 4_000_000
+# Pieces kept by a worker; what goes beyond is encoded again when it comes again.
+CACHED_PIECES = 1_000_000
+CACHED_CHARS = 40
+SLICE_BYTES = 8_000_000
 
 # Letters that stay one letter when composed and lower-cased (İ becomes two characters).
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
-# A space that is not alone between two words.
-_ODD_GAP = re.compile(r"^ | $|\s | \s")
-_GAP = re.compile(r"(?<=\S) (?=\S)")
-# Inside a word: runs of letters and runs of the rest, where that is how the tokenizers cut.
+# Runs of letters and runs of the rest, each with the single space before it.
 _PIECES = re.compile(f" ?[{_LETTERS}]+| ?[^{_LETTERS} ]+")
-_WHOLE = re.compile(rf"[^\x00-\x7f{_LETTERS}]|'|\s\s|(?<=[\s\S]) | $")
+# Where tokens may reach over the ends of such runs: other letters, contractions, rows of white space.
+_OPEN = re.compile(rf"[^\x00-\x7f{_LETTERS}]|'|\s\s|(?<=[\s\S]) | $")
+# A space alone between two words.
+_GAP = re.compile(r"(?<=\S)(?= \S)")
+# The same as Arrow's regular expressions have it; the mark stands behind every piece.
+_MARK = "\x01"
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_ODD_TEXT = rf"^ | $|{_WHITE} | {_WHITE}|{_MARK}"
+_OPEN_WORD = rf"[^\x00-\x7f{_LETTERS}]|'|{_WHITE}{_WHITE}"
 
 _encoders: dict[str, Encoder] = {}
 
@@ -29,10 +35,11 @@ _encoders: dict[str, Encoder] = {}
 class Encoder:
     """Encodes texts word by word.
 
-    A single space between two words always begins a token of both kinds of vocabulary used here
-    (byte-level, and word ends with white space dropped), so a text's ids are those of its words
-    in turn, and a frequent word needs to be encoded only once. Texts whose spaces are not of that
-    kind are cut only where they are.
+    Both kinds of vocabulary used here (byte-level, and word ends with white space dropped) begin a new
+    token at a single space between two words, and between a letter and what is none. So a
+    text's ids are those of its words in turn, a word's those of its runs of letters and of the rest, and
+    what is frequent needs to be encoded only once. Where more than that is at stake, a word is
+    encoded as it is, and a text is cut at no other spaces.
     """
 
     def __init__(self, path: str):
@@ -42,61 +49,71 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Control strings in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text is empty."""
-        found: list[bytes] = []
-        start, chars = 0, 0
-        for i, text in enumerate(texts):
-            chars += len(text or "")
-            if chars > SLICE_CHARS or i == len(texts) - 1:
-                found += self._encode(texts[start : i + 1])
-                start, chars = i + 1, 0
-        return found
-
-    def _encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        heads, tails = [], []
-        for text in texts:
-            text = text or ""
-            words = _GAP.split(text) if _ODD_GAP.search(text) else text.split(" ")
-            heads.append(words[0])
-            tails.append(words[1:])
-        new_heads = set(heads).difference(("",))
-        new_tails = set().union(*tails)
-        new = {word for word in new_heads if word not in self.words}
-        new.update(word for tail in new_tails if (word := " " + tail) not in self.words)
-        self._learn(new)
-        # Words inside a text are kept with the space before them.
-        after = {tail: self.words[" " + tail] for tail in new_tails}
-        found = [
-            (self.words[head] if head else b"") + b"".join(map(after.__getitem__, tail))
-            for head, tail in zip(heads, tails)
-        ]
-        self._trim(self.words, new, CACHED_WORDS)
-        return found
-
-    def _learn(self, words: set[str]) -> None:
-        cut = {
-            word: [word] if _WHOLE.search(word) else _PIECES.findall(word) for word in words
-        }
-        new = {piece for pieces in cut.values() for piece in pieces}.difference(self.pieces)
-        order = list(new)
-        encoded = self.tokenizer.encode_batch_fast(order, add_special_tokens=False)
-        for piece, found in zip(order, encoded):
-            self.pieces[piece] = np.array(found.ids, "<u4").tobytes()
-        for word, pieces in cut.items():
-            self.words[word] = b"".join(map(self.pieces.__getitem__, pieces))
-        self._trim(self.pieces, new, CACHED_PIECES)
-
-    @staticmethod
-    def _trim(cache: dict[str, bytes], new: set[str], limit: int) -> None:
-        for key in new:
-            if len(key) > CACHED_CHARS:
-                del cache[key]
-        while len(cache) > limit:
-            cache.popitem()
+        texts = pc.fill_null(texts, "")
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            before = size[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(size, before + SLICE_BYTES, "right")))
+            yield from self._slice(texts.slice(at, end - at))
+            at = end
+
+    def _slice(self, texts: pa.Array) -> Iterator[bytes]:
+        is_odd = pc.match_substring_regex(texts, _ODD_TEXT)
+        spaced = pc.split_pattern(pc.if_else(is_odd, "", texts), " ")
+        bounds = spaced.offsets.to_numpy() - spaced.offsets[0].as_py()
+        coded = spaced.flatten().dictionary_encode()
+        # A text's first word has no space before it; each is a word of its own.
+        heads = coded.take(pa.array(bounds[:-1])).dictionary_decode()
+        number = coded.indices.to_numpy(zero_copy_only=False).copy()
+        number[bounds[:-1]] = len(coded.dictionary) + np.arange(len(heads))
+        tails = pc.binary_join_element_wise(" ", coded.dictionary, "")
+        ids, edges = _gather(*self._words(pa.concat_arrays([tails, heads])), number)
+        edges = edges[bounds]
+        odd = is_odd.to_numpy(zero_copy_only=False)
+        for i, (a, b) in enumerate(zip(edges, edges[1:])):
+            yield self._odd(texts[i].as_py()) if odd[i] else ids[a:b].tobytes()
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in turn, and where each word's begin and the last one's end."""
+        whole = pc.binary_join_element_wise(words, _MARK, "")
+        pieces = pc.replace_substring_regex(words, f"({_PIECES.pattern})", rf"\1{_MARK}")
+        cut = pc.split_pattern(pc.if_else(pc.match_substring_regex(words, _OPEN_WORD), whole, pieces), _MARK)
+        coded = cut.flatten().dictionary_encode()
+        found = self._pieces(coded.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(found), "<u4")
+        edges = np.append(0, np.cumsum([len(own) // 4 for own in found], dtype=np.int64))
+        ids, edges = _gather(ids, edges, coded.indices.to_numpy(zero_copy_only=False))
+        return ids, edges[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+
+    def _odd(self, text: str) -> bytes:
+        words = _GAP.split(text)
+        cut = [[word] if _OPEN.search(word) else _PIECES.findall(word) for word in words]
+        return b"".join(self._pieces([piece for own in cut for piece in own]))
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece."""
+        found = list(map(self.pieces.get, pieces))
+        rare = list({piece for piece, ids in zip(pieces, found) if ids is None})
+        encodings = self.tokenizer.encode_batch_fast(rare, add_special_tokens=False)
+        new = dict(zip(rare, (np.array(e.ids, "<u4").tobytes() for e in encodings)))
+        for piece, ids in new.items():
+            if len(self.pieces) < CACHED_PIECES and len(piece) <= CACHED_CHARS:
+                self.pieces[piece] = ids
+        return [new[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
+
+
+def _gather(ids: np.ndarray, edges: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the parts `number` of `ids` in turn, and where each begins; `edges` bounds the parts."""
+    each = np.diff(edges)[number]
+    ends = np.append(0, np.cumsum(each))
+    place = np.repeat(edges[number] - ends[:-1], each)
+    place += np.arange(len(place))
+    return ids[place], ends
 
 
 def encoder(path: str) -> Encoder:
