@@ -5,15 +5,16 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 # Pieces kept by a worker; what goes beyond is encoded again when it comes again.
-CACHED_PIECES = 1_000_000
-CACHED_CHARS = 40
-SLICE_BYTES = 8_000_000
+CACHED_PIECES = 600_000
+CACHED_BYTES = 40
+SLICE_BYTES = 16_000_000
 
 # Letters that stay one letter when composed and lower-cased (İ becomes two characters).
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -49,7 +50,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Control strings in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
-        self.pieces: dict[str, bytes] = {}
+        # Known pieces, their ids in turn, and where each one's ids begin and the last one's end.
+        self.known = pa.array([], pa.string())
+        self.ids = np.empty(0, np.uint32)
+        self.edges = np.zeros(1, np.int64)
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text is empty."""
@@ -84,27 +88,37 @@ class Encoder:
         pieces = pc.replace_substring_regex(words, f"({_PIECES.pattern})", rf"\1{_MARK}")
         cut = pc.split_pattern(pc.if_else(pc.match_substring_regex(words, _OPEN_WORD), whole, pieces), _MARK)
         coded = cut.flatten().dictionary_encode()
-        found = self._pieces(coded.dictionary.to_pylist())
-        ids = np.frombuffer(b"".join(found), "<u4")
-        edges = np.append(0, np.cumsum([len(own) // 4 for own in found], dtype=np.int64))
+        ids, edges = self._pieces(coded.dictionary)
         ids, edges = _gather(ids, edges, coded.indices.to_numpy(zero_copy_only=False))
         return ids, edges[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
 
     def _odd(self, text: str) -> bytes:
         words = _GAP.split(text)
         cut = [[word] if _OPEN.search(word) else _PIECES.findall(word) for word in words]
-        return b"".join(self._pieces([piece for own in cut for piece in own]))
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece."""
-        found = list(map(self.pieces.get, pieces))
-        rare = list({piece for piece, ids in zip(pieces, found) if ids is None})
-        encodings = self.tokenizer.encode_batch_fast(rare, add_special_tokens=False)
-        new = dict(zip(rare, (np.array(e.ids, "<u4").tobytes() for e in encodings)))
-        for piece, ids in new.items():
-            if len(self.pieces) < CACHED_PIECES and len(piece) <= CACHED_CHARS:
-                self.pieces[piece] = ids
-        return [new[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
+        coded = pa.array([piece for own in cut for piece in own], pa.string()).dictionary_encode()
+        ids, edges = self._pieces(coded.dictionary)
+        return _gather(ids, edges, coded.indices.to_numpy(zero_copy_only=False))[0].tobytes()
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all `pieces`, each of which is there once, and their bounds."""
+        place = pc.index_in(pieces, value_set=self.known)
+        rare = pieces.filter(pc.is_null(place))
+        encodings = self.tokenizer.encode_batch_fast(rare.to_pylist(), add_special_tokens=False)
+        own = [encoding.ids for encoding in encodings]
+        ids = np.append(self.ids, np.fromiter(chain.from_iterable(own), np.uint32))
+        edges = np.append(self.edges, self.edges[-1] + np.cumsum([len(one) for one in own], dtype=np.int64))
+        known = place.to_numpy(zero_copy_only=False)
+        missing = np.isnan(known) if known.dtype.kind == "f" else np.zeros(len(known), bool)
+        number = np.where(missing, len(self.known) + np.cumsum(missing) - 1, np.nan_to_num(known)).astype(np.int64)
+        found = _gather(ids, edges, number)
+        short = pc.less_equal(pc.binary_length(rare), CACHED_BYTES).to_numpy(zero_copy_only=False)
+        kept = np.flatnonzero(short)[: CACHED_PIECES - len(self.known)]
+        if len(kept):
+            more, ends = _gather(ids, edges, len(self.known) + kept)
+            self.known = pa.concat_arrays([self.known, rare.take(pa.array(kept))])
+            self.ids = np.append(self.ids, more)
+            self.edges = np.append(self.edges, self.edges[-1] + ends[1:])
+        return found
 
 
 def _gather(ids: np.ndarray, edges: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -30,4 +30,4 @@ def test_ids_are_those_of_the_whole_text(name, monkeypatch):
     for text, found in zip(texts, encoder.encode(pa.array(texts)), strict=True):
         wanted = plain.encode(text or "", add_special_tokens=False).ids
         assert np.frombuffer(found, "<u4").tolist() == wanted, repr(text)
-    assert len(encoder.pieces) <= 20
+    assert len(encoder.known) <= 20
