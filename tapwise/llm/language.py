@@ -25,7 +25,7 @@ RATE = 0.5
 SEED = 5
 HELD_OUT_FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 DRAW = 1 << 20
 _BEGIN, _END = "\x02", "\x03"
 

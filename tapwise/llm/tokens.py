@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 # Pieces kept by a worker; what goes beyond is encoded again when it comes again.
 CACHED_PIECES = 600_000
 CACHED_BYTES = 40
-SLICE_BYTES = 16_000_000
+SLICE_BYTES = 8_000_000
 
 # Letters that stay one letter when composed and lower-cased (İ becomes two characters).
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -64,6 +64,8 @@ class Encoder:
             before = size[at - 1] if at else 0
             end = max(at + 1, int(np.searchsorted(size, before + SLICE_BYTES, "right")))
             yield from self._slice(texts.slice(at, end - at))
+            # Else Arrow's pool keeps the most that any slice has needed.
+            pa.default_memory_pool().release_unused()
             at = end
 
     def _slice(self, texts: pa.Array) -> Iterator[bytes]:
