@@ -12,9 +12,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Pieces kept by a worker; what goes beyond is encoded again when it comes again.
-CACHED_PIECES = 600_000
+CACHED_PIECES = 1_500_000
 CACHED_BYTES = 40
-SLICE_BYTES = 8_000_000
+# Words are looked up for so many bytes of text at once, and ids put together for so many words.
+SLICE_BYTES = 32_000_000
+GATHER_WORDS = 500_000
 
 # Letters that stay one letter when composed and lower-cased (İ becomes two characters).
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
@@ -64,9 +66,9 @@ class Encoder:
             before = size[at - 1] if at else 0
             end = max(at + 1, int(np.searchsorted(size, before + SLICE_BYTES, "right")))
             yield from self._slice(texts.slice(at, end - at))
-            # Else Arrow's pool keeps the most that any slice has needed.
-            pa.default_memory_pool().release_unused()
             at = end
+        # Else Arrow's pool keeps the most that any slice has needed.
+        pa.default_memory_pool().release_unused()
 
     def _slice(self, texts: pa.Array) -> Iterator[bytes]:
         is_odd = pc.match_substring_regex(texts, _ODD_TEXT)
@@ -78,11 +80,17 @@ class Encoder:
         number = coded.indices.to_numpy(zero_copy_only=False).copy()
         number[bounds[:-1]] = len(coded.dictionary) + np.arange(len(heads))
         tails = pc.binary_join_element_wise(" ", coded.dictionary, "")
-        ids, edges = _gather(*self._words(pa.concat_arrays([tails, heads])), number)
-        edges = edges[bounds]
+        ids, edges = self._words(pa.concat_arrays([tails, heads]))
         odd = is_odd.to_numpy(zero_copy_only=False)
-        for i, (a, b) in enumerate(zip(edges, edges[1:])):
-            yield self._odd(texts[i].as_py()) if odd[i] else ids[a:b].tobytes()
+        del spaced, coded, tails, heads
+        first = 0
+        while first < len(odd):
+            last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + GATHER_WORDS, "right")) - 1)
+            flat, ends = _gather(ids, edges, number[bounds[first] : bounds[last]])
+            ends = ends[bounds[first : last + 1] - bounds[first]]
+            for i, a, b in zip(range(first, last), ends, ends[1:]):
+                yield self._odd(texts[i].as_py()) if odd[i] else flat[a:b].tobytes()
+            first = last
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in turn, and where each word's begin and the last one's end."""

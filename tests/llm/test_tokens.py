@@ -19,6 +19,7 @@ ALPHABET = [
 def test_ids_are_those_of_the_whole_text(name, monkeypatch):
     monkeypatch.setattr(tokens, "CACHED_PIECES", 20)
     monkeypatch.setattr(tokens, "SLICE_BYTES", 500)
+    monkeypatch.setattr(tokens, "GATHER_WORDS", 30)
     path = public_tokenizers.path(name)
     plain = Tokenizer.from_file(path)
     plain.encode_special_tokens = True
