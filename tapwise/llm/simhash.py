@@ -202,4 +202,5 @@ def keep_one(
     own = staged.groupBy(F.col(bits).alias("bits")).agg(F.min(first).alias("first"))
     stay = _roots_of(own, max_bits, blocks, lot).groupBy("root").agg(F.min("first").alias("first"))
     stay = stored(stay.select(F.col("first.row").alias(row)))
-    return staged.join(stay, row, "left_semi").select(*[F.col(f"`{name}`") for name in docs.columns])
+    # The same way at every size: the rows that stay grow with the documents.
+    return staged.join(stay.hint("merge"), row, "left_semi").select(*[F.col(f"`{name}`") for name in docs.columns])
