@@ -19,6 +19,7 @@ DIMENSIONS = 64
 NEIGHBOURS = 25
 # A neighbour's vote counts as its similarity to this power.
 SHARPNESS = 4
+TIE = 1e-6
 # Beside the terms, which have length 1 together: how far a text repeats its last word.
 REPEAT_WEIGHT = 1.0
 REPEAT_FULL = 0.25
@@ -68,11 +69,12 @@ class Space:
             return scores
         cosines = self.place(counts) @ self.vectors.T
         k = min(NEIGHBOURS, len(self.vectors))
-        near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        votes = np.maximum(np.take_along_axis(cosines, near, axis=1), 0).astype(np.float64) ** SHARPNESS
+        least = np.partition(cosines, len(self.vectors) - k, axis=1)[:, len(self.vectors) - k]
+        # All that tie with the last neighbour vote as well, so that their order does not matter.
+        votes = np.where(cosines >= least[:, None] - TIE, np.maximum(cosines, 0), 0).astype(np.float64) ** SHARPNESS
         total = votes.sum(axis=1)
         told = total > 0
-        scores[told] = (votes * self.labels[near]).sum(axis=1)[told] / total[told]
+        scores[told] = (votes @ self.labels)[told] / total[told]
         return np.clip(scores, 0.0, 1.0)
 
 

@@ -99,6 +99,7 @@ def search(
         scores[part] = (queries[query[part]] * lists.values[candidate[part]]).sum(axis=1)
     # Of a query's survivors, the best k by score, then by id.
     if scores.dtype == object:
+        scores = np.array([min(max(int(s), -(2**63)), 2**63 - 1) for s in scores], object)
         order = np.array(sorted(range(len(query)), key=lambda i: (query[i], -scores[i], candidate[i])), np.int64)
     else:
         order = np.lexsort((candidate, -scores, query))
@@ -182,7 +183,5 @@ def _meeting(run: pa.Table, k: int) -> Iterator[pa.RecordBatch]:
     for at in range(split, len(ids), QUERY_LOT):
         asked = ids[at : at + QUERY_LOT]
         query, found, scores = search(asked, values[at : at + QUERY_LOT], lists, k)
-        if kind_of is object:
-            scores = [min(max(int(s), -(2**63)), 2**63 - 1) for s in scores]
         columns = [asked[query], found, np.array(scores, np.int64)]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
