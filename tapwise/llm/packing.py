@@ -17,6 +17,7 @@ from tapwise.llm.tokens import encoder
 CAPACITY = 1024
 # Pieces are packed in groups of about so many tokens; a group leaves some one sequence part empty.
 GROUP_TOKENS = 1 << 22
+BATCH_PIECES = 1000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -81,25 +82,29 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
     """
     end = np.array([end_id], "<u4").tobytes()
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+        n = 6 if with_ids else 5
+        columns = [pa.array(c, t) for c, t in zip(list(zip(*rows))[:n], types)]
+        return pa.RecordBatch.from_arrays(columns, names=names[:n])
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
         for batch in batches:
-            keys = batch.column("doc_id").to_pylist()
             rows: list[tuple] = []
-            for key, found in zip(keys, encode(batch.column("text"))):
+            for key, found in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
                 ids = found + end
                 first = len(ids) // 4 % capacity * 4 or 4 * capacity
                 bounds = [0, *range(first, len(ids) + 1, 4 * capacity)]
                 for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
                     part = ids[a:b]
-                    rows.append((key, i, a // 4, (b - a) // 4, zlib.crc32(part), part))
-            columns = [list(c) for c in zip(*rows)] or [[]] * 6
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            n = 6 if with_ids else 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns[:n], types)], names=names[:n]
-            )
+                    rows.append((key, i, a // 4, (b - a) // 4, zlib.crc32(part), part if with_ids else None))
+                if len(rows) >= BATCH_PIECES:
+                    yield batch_of(rows)
+                    rows = []
+            if rows:
+                yield batch_of(rows)
 
     schema = PIECE_SCHEMA + (", ids binary" if with_ids else "")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)

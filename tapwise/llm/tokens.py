@@ -15,8 +15,8 @@ import pyarrow.compute as pc
 CACHED_PIECES = 1_500_000
 CACHED_BYTES = 40
 # Words are looked up for so many bytes of text at once, and ids put together for so many words.
-SLICE_BYTES = 32_000_000
-GATHER_WORDS = 500_000
+SLICE_BYTES = 12_000_000
+GATHER_WORDS = 300_000
 
 # Letters that stay one letter when composed and lower-cased (İ becomes two characters).
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
