@@ -96,10 +96,11 @@ def _measured(frame: DataFrame, max_broadcast_bytes: int, *keys: str) -> Lookup
 
 def heavy_cards(taps: DataFrame, slice_rows: int) -> DataFrame:
     """Cards with more than `slice_rows` taps: second of their first tap, and seconds per slice.
-    Taps without a card count as one card's; they are never cut, as nothing equals NULL."""
+    Taps without a card are nobody's, and never cut."""
     second = second_number("ride_start_time")
     return (
-        taps.groupBy("card_id")
+        taps.where("card_id IS NOT NULL")
+        .groupBy("card_id")
         .agg(
             F.count(F.lit(1)).alias("taps"),
             F.min(second).alias("start"),

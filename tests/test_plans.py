@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from tapwise.operators import taps
-from tapwise.operators.linking import Slices
+from tapwise.operators.linking import Slices, heavy_cards
 from tapwise.operators.lookups import Lookups
 from tapwise.plans import trips
 from tapwise.sources.sample import sample_lookups, sample_tables
@@ -48,12 +48,36 @@ def test_read_tables_keeps_rows(spark, stored):
         assert frame.exceptAll(getattr(made, name)).isEmpty(), name
 
 
-def test_zoned_times_become_wall_clock(spark):
-    zoned = make_tables(spark, **random_world(1)).taps.withColumn(
-        "ride_start_time", F.expr("TIMESTAMP '2024-02-01 08:00:00'")
+def test_zoned_times_do_not_depend_on_the_session(spark, tmp_path, capsys):
+    """Instants around both changes of the clocks, read under two session zones."""
+    micros = [int(t) * 1_000_000 for t in (1704182400, 1704182399, 1710064799, 1710064800, 1730620800, 1730624400)]
+    instants = spark.createDataFrame([(m,) for m in micros], "m long").select(
+        *[F.lit(None).cast("int").alias(c) for c in TAP_COLUMNS if c != "ride_start_time"],
+        F.timestamp_micros("m").alias("ride_start_time"),
     )
-    first = conform(zoned, TAP_COLUMNS).first()
-    assert str(first.ride_start_time) == "2024-02-01 08:00:00"
+    instants.write.parquet(str(tmp_path / "taps"))
+    session, found = spark.conf.get("spark.sql.session.timeZone"), []
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            taps = conform(
+                spark.read.parquet(str(tmp_path / "taps")), TAP_COLUMNS, None, "America/Los_Angeles", "2024-01-02 00:00:00"
+            )
+            late = taps.where(F.col("ride_start_time") >= F.lit("2024-01-02 00:00:00").cast("timestamp_ntz"))
+            assert "PushedFilters: [IsNotNull(ride_start_time), GreaterThanOrEqual(ride_start_time," in plan_of(late, capsys)
+            found.append(sorted(str(r.ride_start_time) for r in late.collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", session)
+    assert found == 3 * [
+        ["2024-01-02 00:00:00", "2024-03-10 01:59:59", "2024-03-10 03:00:00", "2024-11-03 01:00:00", "2024-11-03 01:00:00"]
+    ]
+    with pytest.raises(ValueError, match="name the zone"):
+        conform(instants, TAP_COLUMNS)
+
+
+def test_cards_without_a_number_are_not_heavy(spark):
+    taps_of_nobody = make_tables(spark, **random_world(1)).taps.withColumn("card_id", F.lit(None).cast("long"))
+    assert heavy_cards(taps_of_nobody, 5).count() == 0
 
 
 @pytest.mark.parametrize(("slice_rows", "shuffles"), [(1_000_000, 1), (20, 2)])

@@ -1,5 +1,6 @@
 """The batch job."""
 
+import pyarrow.parquet as pq
 import pytest
 from worlds import make_tables, random_world
 
@@ -32,3 +33,38 @@ def test_failed_refresh_changes_nothing(spark, tmp_path):
         refresh.refresh(bad, [], "stable_trips", folder=str(tmp_path))
     assert spark.table("stable_trips").count() == before
     assert len(versions(spark, "stable_trips")) == 1
+    assert [p.name for p in tmp_path.iterdir()] == versions(spark, "stable_trips")
+
+
+def test_refresh_drops_only_its_own_old_versions(spark, tmp_path):
+    tables = make_tables(spark, **random_world(2))
+    others = ["fares__archive", "fares__backup", "fares__10_old", "fares__b__20240101000000000000_0123abcd"]
+    for name in others:
+        spark.range(3).write.saveAsTable(name)
+    nested = refresh.refresh(tables, [], "fares__b", folder=str(tmp_path)).count()
+    for run in range(3):
+        published = refresh.refresh(tables, [], "fares", folder=str(tmp_path))
+        assert published.count() == nested
+        kept = [t for t in versions(spark, "fares") if t not in others and not t.startswith("fares__b")]
+        assert len(kept) == min(run + 1, 2)
+        files = {p.name for p in tmp_path.iterdir() if not p.name.startswith("fares__b__")}
+        assert files == set(kept)
+    assert all(spark.table(name).count() == 3 for name in others)
+    assert spark.table("fares__b").count() == nested
+
+
+def test_published_files_are_placed_by_card(spark, tmp_path):
+    tables = make_tables(spark, **random_world(1))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        refresh.refresh(tables, [], "placed_trips", folder=str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = []
+    for file in tmp_path.glob("*/*.parquet"):
+        column = pq.read_table(file, columns=["card_id"]).column(0).drop_null().to_pylist()
+        assert column == sorted(column)
+        if column:
+            spans.append((column[0], column[-1]))
+    spans.sort()
+    assert len(spans) > 2 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))

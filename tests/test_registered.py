@@ -5,13 +5,15 @@ import pytest
 
 import __spark_entry__ as registered
 
-QUERIES, SQL = registered.queries(), registered.oracle_sql()
+SQL = registered.oracle_sql()
+# Queries of the corpus part, where it is there, have tests of their own.
+QUERIES = {name: query for name, query in registered.queries().items() if name in registered._QUERIES}
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
 
 
 def test_every_query_has_sql():
-    assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= SQL.keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
