@@ -12,11 +12,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Pieces kept by a worker; what goes beyond is encoded again when it comes again.
-CACHED_PIECES = 1_500_000
+CACHED_PIECES = 300_000
 CACHED_BYTES = 40
 # Words are looked up for so many bytes of text at once, and ids put together for so many words.
-SLICE_BYTES = 12_000_000
-GATHER_WORDS = 300_000
+SLICE_BYTES = 4_000_000
+GATHER_WORDS = 100_000
 
 # Letters that stay one letter when composed and lower-cased (İ becomes two characters).
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
