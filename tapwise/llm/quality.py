@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 SAMPLE_PER_CLASS = 2048
 TERMS = 2048
 DIMENSIONS = 64
+# Of the iteration that finds the axes.
+STEPS, SEED = 60, 8
 NEIGHBOURS = 25
 # A neighbour's vote counts as its similarity to this power.
 SHARPNESS = 4
@@ -85,6 +87,19 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return np.hstack([terms, repeats]).astype(np.float32)
 
 
+def leading_axes(square: np.ndarray, dimensions: int) -> np.ndarray:
+    """The leading eigenvectors of a symmetric matrix, by subspace iteration from a seeded start.
+
+    Half as many again are carried along, so that the last ones wanted settle as well.
+    """
+    drawn = np.random.default_rng(SEED).standard_normal((len(square), dimensions + dimensions // 2))
+    basis = np.linalg.qr(drawn)[0]
+    for _ in range(STEPS):
+        basis = np.linalg.qr(square @ basis)[0]
+    _, turn = np.linalg.eigh(basis.T @ square @ basis)
+    return (basis @ turn)[:, ::-1][:, :dimensions]
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS) -> Space:
     """The space and labelled vectors of a sample of the labelled documents that are not held out.
 
@@ -113,13 +128,23 @@ def learn(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER
     rows = rows.sort_by([("doc_id", "ascending"), ("quality", "ascending")])
     n = rows.num_rows
     prior = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5
-    counts = np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.float32).reshape(n, TERMS + 1)
-    idf = np.log((n + 1) / ((counts[:, :TERMS] > 0).sum(axis=0) + 1)) + 0.1
-    terms = weighted(counts, idf)
-    _, axes = np.linalg.eigh(terms.T.astype(np.float64) @ terms)
-    axes = axes[:, ::-1][:, :DIMENSIONS].astype(np.float32)
-    space = Space(idf, axes, np.empty((0, DIMENSIONS), np.float32), rows.column("quality").to_numpy(), prior)
-    return Space(idf, axes, space.place(counts), space.labels, prior) if n else space
+    labels = rows.column("quality").to_numpy()
+    counts = np.empty((n, TERMS + 1), np.float32)
+    for i, row in enumerate(rows.column("counts")):
+        counts[i] = np.frombuffer(row.as_buffer(), np.float32)
+    del rows
+    idf = np.log((n + 1) / (np.count_nonzero(counts[:, :TERMS], axis=0) + 1)) + 0.1
+    # Block by block, so that the driver holds the counts and one square matrix.
+    blocks = [counts[at : at + BLOCK_DOCS] for at in range(0, n, BLOCK_DOCS)]
+    square = np.zeros((TERMS + 1, TERMS + 1))
+    for block in blocks:
+        terms = weighted(block, idf).astype(np.float64)
+        square += terms.T @ terms
+    axes = leading_axes(square, DIMENSIONS).astype(np.float32)
+    space = Space(idf, axes, np.empty((0, DIMENSIONS), np.float32), labels, prior)
+    if not n:
+        return space
+    return Space(idf, axes, np.concatenate([space.place(block) for block in blocks]), labels, prior)
 
 
 def score(
