@@ -6,36 +6,74 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Tokens are characters: the most frequent ones of the corpus, one for all others, and the bounds
-# of a text. A table of all trigrams thus has at most VOCABULARY ** 3 entries.
-VOCABULARY = 128
-BOUND, OTHER = 0, 1
-CODE_POINTS = 0x110000
-
-
-def _points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts in turn, each as two bounds, its characters, one bound; and lengths."""
-    bounded = ["\0\0" + (text or "") + "\0" for text in texts]
-    sizes = np.array([len(text) for text in bounded], np.int64)
-    return np.frombuffer("".join(bounded).encode("utf-32-le", "surrogatepass"), "<u4"), sizes
-
+from tapwise.llm.scratch import stored
 
-def _trigrams(texts: list[str | None], code_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The trigram that ends at each character and at each text's end, and where each text begins."""
-    points, sizes = _points(texts)
-    codes = code_of[points].astype(np.int32)
-    grams = np.zeros(len(codes), np.int32)
-    grams[2:] = (codes[:-2] * VOCABULARY + codes[1:-1]) * VOCABULARY + codes[2:]
-    begin = np.cumsum(sizes) - sizes
-    keep = np.ones(len(codes), bool)
+# What stands before a text's first word and after its last; words are known by 64 bits of hash.
+BOUND, END = 1, 2
+CODE_POINTS = 0x110000
+SPACES = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+# Scripts without spaces, in which every character is a word: Thai, Lao, Burmese, Khmer, kana, Han.
+UNSPACED = [(0xE00, 0xF00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3040, 0x3100), (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00), (0x20000, 0x40000)]
+_IN_SPACE, _ALONE = 1, 2
+
+
+def _kinds() -> np.ndarray:
+    kinds = np.zeros(CODE_POINTS, np.uint8)
+    kinds[SPACES] = _IN_SPACE
+    for first, end in UNSPACED:
+        kinds[first:end] = _ALONE
+    return kinds
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Spreads 64-bit numbers, each to another."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(texts: list[str | None], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of all texts in turn, and how many each text has."""
+    sizes = np.array([len(text or "") for text in texts], np.int64)
+    points = np.frombuffer("".join(text or "" for text in texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    if not len(points):
+        return np.empty(0, np.int64), np.zeros(len(texts), np.int64)
+    kind = kinds[points]
+    first = np.ones(len(points), bool)
+    first[1:] = (kind[1:] == _ALONE) | (kind[:-1] != 0)
+    begins = np.cumsum(sizes) - sizes
+    first[begins[sizes > 0]] = True
+    first &= kind != _IN_SPACE
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return np.empty(0, np.int64), np.zeros(len(texts), np.int64)
+    # What stands before the first word is space, which adds nothing to any hash.
+    length = np.diff(starts, append=len(points))
+    place = np.arange(starts[0], len(points)) - np.repeat(starts, length)
+    parts = _mix(points[starts[0] :] + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    parts[kind[starts[0] :] == _IN_SPACE] = 0
+    hashes = _mix(np.add.reduceat(parts, starts - starts[0])).view(np.int64)
+    owner = np.searchsorted(begins + sizes, starts, side="right")
+    return hashes, np.bincount(owner, minlength=len(texts))
+
+
+def _trigrams(texts: list[str | None], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The trigram that ends at each word and at each text's end, as three columns, and each text's number of them."""
+    hashes, words = word_hashes(texts, kinds)
+    begin = np.cumsum(words + 3) - (words + 3)
+    row = np.full(len(hashes) + 3 * len(texts), BOUND, np.int64)
+    row[begin + words + 2] = END
+    row[np.arange(len(hashes)) + 3 * np.repeat(np.arange(len(texts)), words) + 2] = hashes
+    keep = np.ones(len(row), bool)
     keep[begin] = keep[begin + 1] = False
-    return grams[keep], begin - 2 * np.arange(len(sizes))
+    at = np.flatnonzero(keep)
+    return row[at - 2], row[at - 1], row[at], words + 1
 
 
-def _chunks(batch: pa.RecordBatch, chars: int = 4_000_000) -> Iterator[tuple[int, list[str | None]]]:
+def _chunks(batch: pa.RecordBatch, chars: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
     """Texts in slices of about so many characters, with the number of the first."""
     held, first, size = [], 0, 0
     for i, text in enumerate(batch.column("text").to_pylist()):
@@ -48,49 +86,29 @@ def _chunks(batch: pa.RecordBatch, chars: int = 4_000_000) -> Iterator[tuple[int
         yield first, held
 
 
-def _counted(counts: np.ndarray) -> pa.RecordBatch:
-    seen = np.flatnonzero(counts)
-    return pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["code", "n"])
-
+def gram_counts(docs: DataFrame, target: DataFrame, order: int) -> DataFrame:
+    """How often each n-gram of `order` words ends at a word or a text's end: `u`, `v`, `w`, `background`, `target`.
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
-    """The code of each code point: 2 and up for the most frequent ones of all texts."""
+    Counted over the whole of all texts of both; a shorter n-gram's first words are 0. Each task adds up
+    what it has of a slice of texts, so that a frequent n-gram is a row a slice.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CODE_POINTS, np.int64)
+        kinds = _kinds()
         for batch in batches:
             for _, texts in _chunks(batch):
-                counts += np.bincount(_points(texts)[0], minlength=CODE_POINTS)
-        yield _counted(counts)
-
-    counted = docs.select("text").mapInArrow(count, "code long, n long")
-    top = (
-        counted.where("code > 0").groupBy("code").agg(F.sum("n").alias("n"))
-        .orderBy(F.col("n").desc(), "code").limit(size - 2)
+                u, v, w, _ = _trigrams(texts, kinds)
+                u, v = (u if order > 2 else np.zeros_like(u)), (v if order > 1 else np.zeros_like(v))
+                code = _mix(_mix(_mix(u.view(np.uint64)) + v.view(np.uint64)) + w.view(np.uint64))
+                _, at, n = np.unique(code, return_index=True, return_counts=True)
+                columns = [pa.array(c) for c in (u[at], v[at], w[at], n)]
+                yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "w", "n"])
+
+    counted = [rows.select("text").mapInArrow(count, "u long, v long, w long, n long") for rows in (docs, target)]
+    none = F.lit(0).cast("long")
+    return counted[0].select("u", "v", "w", F.col("n").alias("background"), none.alias("target")).unionAll(
+        counted[1].select("u", "v", "w", none.alias("background"), F.col("n").alias("target"))
     )
-    code_of = np.full(CODE_POINTS, OTHER, np.uint8)
-    code_of[0] = BOUND
-    for code, row in enumerate(top.collect(), 2):
-        code_of[row["code"]] = code
-    return code_of
-
-
-def trigram_counts(docs: DataFrame, code_of: np.ndarray) -> np.ndarray:
-    """Counts of all trigrams over the whole of all texts, as a table by the three codes."""
-    shared = docs.sparkSession.sparkContext.broadcast(code_of)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(VOCABULARY**3, np.int64)
-        for batch in batches:
-            for _, texts in _chunks(batch):
-                counts += np.bincount(_trigrams(texts, shared.value)[0], minlength=VOCABULARY**3)
-        yield _counted(counts)
-
-    summed = docs.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    found = summed.toArrow()
-    counts = np.zeros(VOCABULARY**3, np.float64)
-    counts[found.column("code").to_numpy()] = found.column("n").to_numpy()
-    return counts.reshape(VOCABULARY, VOCABULARY, VOCABULARY)
 
 
 def losses(counts: np.ndarray) -> np.ndarray:
@@ -109,40 +127,102 @@ def losses(counts: np.ndarray) -> np.ndarray:
     return -np.log(chance)
 
 
+SIDES = ("background", "target")
+
+
+def _summed(grams: DataFrame, context: Column, last: Column) -> DataFrame:
+    """Counts by context and last words, with each context's total and number of different n-grams."""
+    rows = grams.select(context.alias("context"), last.alias("last"), *SIDES).repartition("context")
+    rows = rows.groupBy("context", "last").agg(*[F.sum(side).alias(side) for side in SIDES])
+    whole = Window.partitionBy("context")
+    for side in SIDES:
+        rows = rows.withColumn(f"{side}_total", F.sum(side).over(whole))
+        rows = rows.withColumn(f"{side}_kinds", F.sum((F.col(side) > 0).cast("long")).over(whole))
+    return rows
+
+
+def _chance(side: str, scale: float, lower: Column) -> Column:
+    """As in `losses`: the n-gram's chance, interpolated with that of the next lower order."""
+    n, total, kinds = F.col(side) * F.lit(scale), F.col(f"{side}_total") * F.lit(scale), F.col(f"{side}_kinds")
+    return F.when(F.col(f"{side}_total") > 0, (n + kinds * lower) / (total + kinds)).otherwise(lower)
+
+
+def gram_losses(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """One row for each trigram of both corpora: its key `gram`, and its loss under either model.
+
+    The vocabulary is every word of both and a text's end. Sums and joins are shuffled; only the size of the
+    vocabulary and of the corpora comes to the driver.
+    """
+    words = gram_counts(docs, target, 1).groupBy("w").agg(*[F.sum(side).alias(side) for side in SIDES])
+    words = stored(words)
+    found = words.agg(
+        F.count(F.lit(1)).alias("words"),
+        *[F.coalesce(F.sum(side), F.lit(0)).alias(side) for side in SIDES],
+        *[F.count(F.when(F.col(side) > 0, 1)).alias(f"{side}_kinds") for side in SIDES],
+    ).first()
+    # Without any target text both models are the background's.
+    own = {side: side if found[side] else "background" for side in SIDES}
+    least = min(found[own[side]] for side in SIDES)
+    scale = {side: least / found[own[side]] if least else 1.0 for side in SIDES}
+
+    ones = words.select("w", *SIDES)
+    for side in SIDES:
+        ones = ones.withColumn(f"{side}_total", F.lit(found[side])).withColumn(f"{side}_kinds", F.lit(found[f"{side}_kinds"]))
+    uniform = F.lit(1 / max(1, found["words"]))
+    ones = ones.select("w", *[_chance(own[side], scale[side], uniform).alias(f"{side}_lower") for side in SIDES])
+
+    pairs = _summed(gram_counts(docs, target, 2), F.col("v"), F.col("w")).join(
+        ones.withColumnRenamed("w", "last").hint("merge"), "last"
+    )
+    pairs = pairs.select(
+        F.xxhash64("context", "last").alias("last"),
+        *[_chance(own[side], scale[side], F.col(f"{side}_lower")).alias(f"{side}_lower") for side in SIDES],
+    )
+    triples = _summed(gram_counts(docs, target, 3), F.xxhash64("u", "v"), F.xxhash64("v", "w")).join(pairs.hint("merge"), "last")
+    return triples.select(
+        F.xxhash64("context", "last").alias("gram"),
+        *[(-F.log(_chance(own[side], scale[side], F.col(f"{side}_lower")))).alias(f"loss_{side}") for side in SIDES],
+    )
+
+
 def score(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """Per document the mean loss of a token under the target and the background model.
+    """Per document its loss under the target and the background model, for each of its characters and its end.
 
-    The background model is trained on all of `docs`, the target model on all of `target`, both
-    (.., text). They are matched: one vocabulary, one order, one smoothing, and the larger corpus's
-    counts scaled to the mass of the smaller one, so that neither gains by its size. `score` is loss_target -
-    loss_background; the lower it is, the more like the target. Characters and each text's end count as tokens.
+    The models are of trigrams of words: runs of characters that are not space, and single characters in
+    scripts without spaces. The background model is trained on all of `docs`, the target model on
+    all of `target`, both (.., text). They are matched: one vocabulary, that of both, one order, one smoothing, and
+    the larger corpus's counts scaled to the mass of the smaller one, so that neither gains by its size. A
+    document's loss is the sum of its words' losses and that of its end; it is divided by `n_tokens`, its number of
+    characters and its end. `score` is loss_target - loss_background; the lower it is, the more like the target.
 
-    A null or empty text has one token, its end. With no target texts, or none with a character, both models are
-    the same and every score is 0. NUL characters count as bounds of a text. Repeated rows are
-    scored each; an empty table gives no rows. Other columns are not used.
+    A null or empty text has one token, its end. With no target texts both models are the same and every
+    score is 0. Repeated rows are scored each; an empty table gives no rows. Other columns are not used.
     """
-    spark = docs.sparkSession
-    code_of = vocabulary(docs)
-    background, wanted = trigram_counts(docs, code_of), trigram_counts(target, code_of)
-    if wanted.sum() == 0:
-        wanted = background
-    least = min(background.sum(), wanted.sum())
-    tables = [losses(c * (least / c.sum()) if least else c) for c in (wanted, background)]
-    shared = spark.sparkContext.broadcast((code_of, np.stack(tables).reshape(2, -1).astype(np.float32)))
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = _kinds()
         for batch in batches:
-            code_of, tables = shared.value
             for first, texts in _chunks(batch):
-                grams, begin = _trigrams(texts, code_of)
-                tokens = np.diff(begin, append=len(grams))
-                means = [np.add.reduceat(t[grams], begin, dtype=np.float64) / tokens for t in tables]
-                keys = batch.column("doc_id").slice(first, len(texts))
-                columns = [pa.array(c) for c in (tokens, *means, means[0] - means[1])]
-                names = ["doc_id", "n_tokens", "loss_target", "loss_background", "score"]
-                yield pa.RecordBatch.from_arrays([keys, *columns], names=names)
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(
-        scored, "doc_id long, n_tokens long, loss_target double, loss_background double, score double"
+                u, v, w, each = _trigrams(texts, kinds)
+                owner = np.repeat(np.arange(len(texts)), each)
+                own = batch.column("row").slice(first, len(texts)).take(pa.array(owner))
+                # What is known once of a text stands at its end only.
+                key = batch.column("doc_id").slice(first, len(texts)).take(pa.array(owner, mask=w != END))
+                tokens = np.zeros(len(w), np.int64)
+                tokens[np.cumsum(each) - 1] = [len(text or "") + 1 for text in texts]
+                columns = [own, key, *[pa.array(c) for c in (u, v, w, tokens)]]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "u", "v", "w", "n_tokens"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    grams = rows.mapInArrow(listed, "row long, doc_id long, u long, v long, w long, n_tokens long").select(
+        "row", "doc_id", "n_tokens", F.xxhash64(F.xxhash64("u", "v"), F.xxhash64("v", "w")).alias("gram")
+    )
+    # Neither side is ever small: a shuffle join, in which adaptive execution splits frequent n-grams.
+    scored = grams.join(gram_losses(docs, target).hint("merge"), "gram")
+    sums = scored.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"),
+        F.sum("n_tokens").alias("n_tokens"),
+        *[F.sum(f"loss_{side}").alias(f"loss_{side}") for side in SIDES],
     )
+    means = [(F.col(f"loss_{side}") / F.col("n_tokens")).alias(f"loss_{side}") for side in reversed(SIDES)]
+    return sums.select("doc_id", "n_tokens", *means).withColumn("score", F.col("loss_target") - F.col("loss_background"))

@@ -189,6 +189,49 @@ def test_scores_tell_the_target_from_the_rest(odd, nothing):
     assert sorted(r.n_tokens for r in scores) == sorted(len(t or "") + 1 for _, t, *_ in odd_rows())
 
 
+def test_scores_are_those_of_a_plain_word_model(spark):
+    """Over 126 characters in several scripts; every word counts as itself."""
+    rng = random.Random(7)
+    letters = [chr(c) for c in (*range(0x61, 0x7B), *range(0x430, 0x450), *range(0x3B1, 0x3CA), *range(0x5D0, 0x5EB), *range(0x10D0, 0x10F1))]
+    kinds = ["".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(400)] + ["\u6f22", "\u5b57"]
+    texts = [" ".join(rng.choices(kinds, k=rng.randint(1, 30))) for _ in range(60)]
+    texts += ["\u6f22\u5b57", "\u5b57\u6f22", "", None, " \n", "a\u3000b\tc", texts[0], "same", "\u0434\u043e\u043c\u0430"]
+    rows = [(i, text, int(i % 3 == 0)) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, good int")
+    found = {r.doc_id: r for r in lm_score.score(docs, docs.where("good = 1")).collect()}
+    assert len(found) == len(rows)
+
+    def sequence(text):
+        return ["<", "<", *"".join(f" {c} " if c in "\u6f22\u5b57" else c for c in text or "").split(), ">"]
+
+    def grams(own, n):
+        return Counter(tuple(s[i - n + 1 : i + 1]) for s in own for i in range(2, len(s)))
+
+    sides = {"background": [sequence(t) for t in texts], "target": [sequence(t) for _, t, good in rows if good]}
+    sums = {side: sum(len(s) - 2 for s in own) for side, own in sides.items()}
+    size = len(grams(sides["background"], 1))
+    assert len({c for t in texts for c in t or ""}) > 126
+    for side, own in sides.items():
+        scale = min(sums.values()) / sums[side]
+        counts = [grams(own, n) for n in (1, 2, 3)]
+        after = [defaultdict(list) for _ in counts]
+        for by, counted in zip(after, counts):
+            for gram, n in counted.items():
+                by[gram[:-1]].append(n)
+
+        def chance(gram):
+            if not gram:
+                return 1 / size
+            lower, followed = chance(gram[1:]), after[len(gram) - 1][gram[:-1]]
+            mixed = counts[len(gram) - 1][gram] * scale + len(followed) * lower
+            return mixed / (sum(followed) * scale + len(followed)) if followed else lower
+
+        for i, text in enumerate(texts):
+            s = sequence(text)
+            loss = -sum(np.log(chance(tuple(s[j - 2 : j + 1]))) for j in range(2, len(s)))
+            assert found[i][f"loss_{side}"] == pytest.approx(loss / (len(text or "") + 1)), (side, text)
+
+
 # 5
 
 def test_layouts_become_the_same_turns(spark):
