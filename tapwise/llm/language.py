@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Learned from about so many documents of each of the most frequent languages, and of each document
-# from so many consecutive words at a place drawn by a hash.
+# Learned from about so many documents of each language, and of each document
+# from so many consecutive words at a place drawn by a hash; where there are many languages, from fewer
+# documents of each, about so many together.
 DOCS_PER_LANGUAGE = 300
+SAMPLE_DOCS = 19_200
 WORDS_PER_DOC = 80
-LANGUAGES = 64
 LEXICON = 300
 GRAMS = 1 << 16
 EPOCHS = 12
@@ -190,19 +191,26 @@ def fit(sample: list[tuple[str, list[str]]]) -> Field:
     return Field(languages, frequent, weights.astype(np.float32), moves, start)
 
 
-def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, words_per_doc: int = WORDS_PER_DOC) -> Field | None:
+def learn(
+    docs: DataFrame,
+    docs_per_language: int = DOCS_PER_LANGUAGE,
+    words_per_doc: int = WORDS_PER_DOC,
+    sample_docs: int = SAMPLE_DOCS,
+) -> Field | None:
     """The field, from a sample of `docs` (doc_id, text, lang) that are not held out; none if none has a language.
 
-    Of the LANGUAGES most frequent values of lang, each gives about `docs_per_language` documents,
-    drawn by a hash of doc_id, and each of them `words_per_doc` words from a drawn place on.
+    Every value of lang gives about `docs_per_language` documents, or an equal part of `sample_docs` if that
+    is less, drawn by a hash of doc_id, and each of them `words_per_doc` words from a drawn place on.
     """
     known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()
-    share = F.lit(0)
-    for row in sizes:
-        part = int(DRAW * min(1.0, docs_per_language / row["n"]))
-        share = F.when(F.col("lang") == row["lang"], part).otherwise(share)
-    drawn = known.where(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(DRAW)) < share)
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    most = min(docs_per_language, max(1, sample_docs // max(1, len(sizes))))
+    shares = [(row["lang"], int(DRAW * min(1.0, most / row["n"]))) for row in sizes]
+    # As many rows as the field has languages.
+    shares = docs.sparkSession.createDataFrame(shares, T.StructType([known.schema["lang"], T.StructField("_share", T.LongType())]))
+    drawn = known.select("doc_id", "text", "lang").join(F.broadcast(shares), "lang").where(
+        F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(DRAW)) < F.col("_share")
+    )
     words = drawn.select("doc_id", "lang", F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "").alias("words"))
     places = F.greatest(F.size("words") - words_per_doc, F.lit(0)) + 1
     place = F.pmod(F.xxhash64(F.lit("place"), "doc_id"), places).cast("int") + 1
@@ -256,6 +264,8 @@ def identify(docs: DataFrame, field: Field | None, names: tuple[str, str] = ("la
     """
     docs = docs.drop(*names)
     shared = docs.sparkSession.sparkContext.broadcast(field)
+    # What is held of a slice grows with the number of languages.
+    slice_chars = SLICE_CHARS * 16 // max(16, len(field.languages) if field else 0)
     place = docs.columns.index("text")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +275,7 @@ def identify(docs: DataFrame, field: Field | None, names: tuple[str, str] = ("la
             first, chars = 0, 0
             for i, text in enumerate(texts):
                 chars += len(text or "")
-                if chars > SLICE_CHARS or i == len(texts) - 1:
+                if chars > slice_chars or i == len(texts) - 1:
                     part = texts[first : i + 1]
                     found += text_languages(part, shared.value) if shared.value else [(UNKNOWN, 0.0)] * len(part)
                     first, chars = i + 1, 0

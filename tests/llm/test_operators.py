@@ -470,6 +470,16 @@ def test_languages(odd, clashing, nothing):
     assert language.identify(nothing, field).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(9)
+    texts = {i: [" ".join(chr(0x4E00 + 3 * i + rng.randrange(3)) * rng.randint(1, 4) for _ in range(30)) for _ in range(6)] for i in range(70)}
+    rows = [(10 * i + j, text, f"l{i:02}") for i, own in texts.items() for j, text in enumerate(own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    field = language.learn(docs)
+    assert field.languages == [f"l{i:02}" for i in range(70)]
+    assert all(r.lang_pred == r.lang for r in language.identify(docs, field).collect())
+
+
 # Empty tables
 
 def test_empty_tables(nothing, spark):
