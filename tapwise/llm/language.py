@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapwise.llm.drawing import drawn_number, share
+
 # Learned from about so many documents of each language, and of each document
 # from so many consecutive words at a place drawn by a hash; where there are many languages, from fewer
 # documents of each, about so many together.
@@ -27,7 +29,6 @@ SEED = 5
 HELD_OUT_FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 SLICE_CHARS = 1_000_000
-DRAW = 1 << 20
 _BEGIN, _END = "\x02", "\x03"
 
 
@@ -205,11 +206,11 @@ def learn(
     known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     most = min(docs_per_language, max(1, sample_docs // max(1, len(sizes))))
-    shares = [(row["lang"], int(DRAW * min(1.0, most / row["n"]))) for row in sizes]
+    shares = [(row["lang"], share(row["n"], most)) for row in sizes]
     # As many rows as the field has languages.
     shares = docs.sparkSession.createDataFrame(shares, T.StructType([known.schema["lang"], T.StructField("_share", T.LongType())]))
     drawn = known.select("doc_id", "text", "lang").join(F.broadcast(shares), "lang").where(
-        F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(DRAW)) < F.col("_share")
+        drawn_number("language", "doc_id") < F.col("_share")
     )
     words = drawn.select("doc_id", "lang", F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "").alias("words"))
     places = F.greatest(F.size("words") - words_per_doc, F.lit(0)) + 1

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapwise.llm.drawing import drawn_number, share
+
 # Learned from at most about so many labelled documents of each class, drawn by a hash of doc_id.
 SAMPLE_PER_CLASS = 2048
 TERMS = 2048
@@ -28,7 +30,6 @@ REPEAT_FULL = 0.25
 HELD_OUT_FOLDS, HELD_OUT = 5, 0
 MIN_SCORE = 0.3
 BLOCK_DOCS = 512
-DRAW = 1 << 20
 
 
 def held_out(doc_id: str = "doc_id", folds: int = HELD_OUT_FOLDS, fold: int = HELD_OUT) -> Column:
@@ -108,10 +109,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER
     """
     known = labels.where(~held_out() & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     sizes = {row["quality"]: row["n"] for row in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(0)
+    part = F.lit(0)
     for label, n in sizes.items():
-        share = F.when(F.col("quality") == label, int(DRAW * min(1.0, sample_per_class / n))).otherwise(share)
-    drawn = known.where(F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(DRAW)) < share)
+        part = F.when(F.col("quality") == label, share(n, sample_per_class)).otherwise(part)
+    drawn = known.where(drawn_number("quality", "doc_id") < part)
     # Twice sample_per_class rows at most, but for the luck of the draw.
     sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tapwise.llm import chat, components, language, lm_score, mixing, multi_index, packing, quality, simhash, token_files, top_k
+from tapwise.llm import chat, components, drawing, language, lm_score, mixing, multi_index, packing, quality, simhash, token_files, top_k
 
 from llm_rows import odd_rows
 
@@ -480,6 +480,17 @@ def test_every_language_is_learned(spark):
     assert all(r.lang_pred == r.lang for r in language.identify(docs, field).collect())
 
 
+def test_samples_hold_at_any_size(spark):
+    # As 300 of 314,572,801: with 2**20 steps one language this frequent had no share.
+    n = 3_200_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"), F.lit("en").alias("lang"))
+    assert language.learn(docs, docs_per_language=2).languages == ["en"]
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert len(quality.learn(docs, labels, sample_per_class=2).vectors) > 0
+    assert drawing.share(10**12, 300) * 10**12 // drawing.DRAW in (299, 300)
+    assert drawing.share(10**30, 1) == 1 and drawing.share(5, 5) == drawing.DRAW
+
+
 # Empty tables
 
 def test_empty_tables(nothing, spark):
