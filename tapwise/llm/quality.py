@@ -101,11 +101,28 @@ def leading_axes(square: np.ndarray, dimensions: int) -> np.ndarray:
     return (basis @ turn)[:, ::-1][:, :dimensions]
 
 
+def document_counts(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of all documents, and in how many of them each term is."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(TERMS + 1, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                found[:TERMS] += term_counts(text)[:TERMS] > 0
+            found[TERMS] += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(TERMS + 1)), pa.array(found)], names=["term", "n"])
+
+    counts = np.zeros(TERMS + 1, np.int64)
+    for row in docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        counts[row["term"]] = row["n"]
+    return int(counts[TERMS]), counts[:TERMS]
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS) -> Space:
     """The space and labelled vectors of a sample of the labelled documents that are not held out.
 
-    Only their counts of terms come to the driver: at most about 2 * `sample_per_class` rows of
-    TERMS + 1 numbers. Labels that are null, or of documents that do not exist, are not used.
+    Terms are weighted by the number of all documents that have them. Of the sample only counts of terms come
+    to the driver: at most about 2 * `sample_per_class` rows of TERMS + 1 numbers. Labels that are null, or of documents that do not exist, are not used.
     """
     known = labels.where(~held_out() & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     sizes = {row["quality"]: row["n"] for row in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -134,7 +151,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER
     for i, row in enumerate(rows.column("counts")):
         counts[i] = np.frombuffer(row.as_buffer(), np.float32)
     del rows
-    idf = np.log((n + 1) / (np.count_nonzero(counts[:, :TERMS], axis=0) + 1)) + 0.1
+    everything, having = document_counts(docs)
+    idf = np.log((everything + 1) / (having + 1)) + 0.1
     # Block by block, so that the driver holds the counts and one square matrix.
     blocks = [counts[at : at + BLOCK_DOCS] for at in range(0, n, BLOCK_DOCS)]
     square = np.zeros((TERMS + 1, TERMS + 1))

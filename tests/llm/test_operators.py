@@ -423,6 +423,12 @@ def test_nothing_is_learned_from_held_out_rows(spark):
     assert kept == {i for i in ids if zlib.crc32(str(i).encode()) % 4 != 2}
 
 
+def test_terms_are_weighted_by_all_documents(odd, spark, labels_dir):
+    space = quality.learn(odd, spark.read.parquet(f"{labels_dir}/labels.parquet"), sample_per_class=3)
+    counts = np.stack([quality.term_counts(text) for _, text, *_ in odd_rows()])[:, : quality.TERMS]
+    assert np.allclose(space.idf, np.log((len(counts) + 1) / ((counts > 0).sum(axis=0) + 1)) + 0.1)
+
+
 # 9
 
 def test_posteriors_are_those_of_all_labelings():
