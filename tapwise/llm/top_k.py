@@ -78,8 +78,8 @@ def search(
     """(query position, candidate id, score) of every query's best k of these lists, best first.
 
     The bar of a query is a score that k candidates are known to reach. After each round of reading a
-    candidate whose upper bound is below it cannot qualify. Reading stops when it has gone
-    deep enough to leave few, or nobody is left; only those left get a final score.
+    candidate whose upper bound is below it cannot qualify. Reading goes to fixed depths, whatever
+    is left then; only those left get a final score.
     """
     n = len(lists.ids)
     own = query_ids[:, None] == lists.ids[None, :]
@@ -122,9 +122,9 @@ def top_k(
     Both tables are (vec_id, v: array of whole numbers); the score is the inner product, ties go to the smaller
     vec_id. Candidates are dealt into blocks of about `list_rows`, queries into blocks of about
     `query_rows`, and every block of queries meets every block of candidates once. There,
-    each component's values are a sorted list, read from its better end in rounds, with lower
-    and upper bounds of every score, until outsiders cannot qualify. The best of each meeting are
-    then ranked together.
+    each component's values are a sorted list, read from its better end to two fixed depths, with lower
+    and upper bounds of every score; those whom the bounds leave are scored. The best of each
+    meeting are then ranked together.
 
     Rows with a null vec_id or null v, and candidates of another length than the query, take no part;
     a query with fewer candidates gets all of them; of rows that share a vec_id each is a candidate, ties
