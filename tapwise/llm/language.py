@@ -28,6 +28,8 @@ RATE = 0.5
 SEED = 5
 HELD_OUT_FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
+# Longer words, as a sentence in a script without spaces, are cut into words of so many characters and a rest.
+LONGEST = 64
 SLICE_CHARS = 1_000_000
 _BEGIN, _END = "\x02", "\x03"
 
@@ -138,7 +140,10 @@ def posteriors(
 
 
 def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    words = (text or "").lower().split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [word[at : at + LONGEST] for word in words for at in range(0, len(word), LONGEST)]
 
 
 def fit(sample: list[tuple[str, list[str]]]) -> Field:
@@ -212,11 +217,11 @@ def learn(
     drawn = known.select("doc_id", "text", "lang").join(F.broadcast(shares), "lang").where(
         drawn_number("language", "doc_id") < F.col("_share")
     )
-    words = drawn.select("doc_id", "lang", F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "").alias("words"))
+    words = drawn.select("doc_id", "lang", F.regexp_extract_all(F.lower("text"), F.lit(rf"(?U)\S{{1,{LONGEST}}}"), F.lit(0)).alias("words"))
     places = F.greatest(F.size("words") - words_per_doc, F.lit(0)) + 1
     place = F.pmod(F.xxhash64(F.lit("place"), "doc_id"), places).cast("int") + 1
     cut = words.where(F.size("words") > 0).select("doc_id", "lang", F.slice("words", place, words_per_doc).alias("words"))
-    rows = sorted((row["lang"], row["doc_id"], [w[:64] for w in row["words"]]) for row in cut.collect())
+    rows = sorted((row["lang"], row["doc_id"], row["words"]) for row in cut.collect())
     return fit([(lang, own) for lang, _, own in rows]) if rows else None
 
 

@@ -497,6 +497,14 @@ def test_samples_hold_at_any_size(spark):
     assert drawing.share(10**30, 1) == 1 and drawing.share(5, 5) == drawing.DRAW
 
 
+def test_long_words_are_learned_whole(spark):
+    rng = random.Random(4)
+    rows = [(i, "z" * 64 + "".join(rng.choices("abc" if i % 2 else "def", k=200)), "x" if i % 2 else "y") for i in range(40)]
+    assert [len(w) for w in language.words_of(rows[0][1])] == [64, 64, 64, 64, 8]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert all(r.lang_pred == r.lang for r in language.identify(docs, language.learn(docs)).collect())
+
+
 # Empty tables
 
 def test_empty_tables(nothing, spark):
