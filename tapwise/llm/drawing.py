@@ -13,6 +13,6 @@ def share(n: int, wanted: int) -> int:
     return DRAW if n <= wanted else max(1, DRAW * wanted // n)
 
 
-def drawn_number(name: str, key: str) -> Column:
-    """A number below DRAW by a hash of `key`, another one for each `name`."""
-    return F.pmod(F.xxhash64(F.lit(name), key), F.lit(DRAW))
+def drawn_number(name: str, *keys: str) -> Column:
+    """A number below DRAW by a hash of `keys`, another one for each `name`."""
+    return F.pmod(F.xxhash64(F.lit(name), *keys), F.lit(DRAW))

@@ -206,7 +206,8 @@ def learn(
     """The field, from a sample of `docs` (doc_id, text, lang) that are not held out; none if none has a language.
 
     Every value of lang gives about `docs_per_language` documents, or an equal part of `sample_docs` if that
-    is less, drawn by a hash of doc_id, and each of them `words_per_doc` words from a drawn place on.
+    is less, drawn by a hash of doc_id and text, and each of them `words_per_doc` words from a drawn place on.
+    Rows that share both are one.
     """
     known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -215,13 +216,13 @@ def learn(
     # As many rows as the field has languages.
     shares = docs.sparkSession.createDataFrame(shares, T.StructType([known.schema["lang"], T.StructField("_share", T.LongType())]))
     drawn = known.select("doc_id", "text", "lang").join(F.broadcast(shares), "lang").where(
-        drawn_number("language", "doc_id") < F.col("_share")
+        drawn_number("language", "doc_id", "text") < F.col("_share")
     )
     words = drawn.select("doc_id", "lang", F.regexp_extract_all(F.lower("text"), F.lit(rf"(?U)\S{{1,{LONGEST}}}"), F.lit(0)).alias("words"))
     places = F.greatest(F.size("words") - words_per_doc, F.lit(0)) + 1
     place = F.pmod(F.xxhash64(F.lit("place"), "doc_id"), places).cast("int") + 1
     cut = words.where(F.size("words") > 0).select("doc_id", "lang", F.slice("words", place, words_per_doc).alias("words"))
-    rows = sorted((row["lang"], row["doc_id"], row["words"]) for row in cut.collect())
+    rows = sorted((row["lang"], row["doc_id"], row["words"]) for row in cut.distinct().collect())
     return fit([(lang, own) for lang, _, own in rows]) if rows else None
 
 

@@ -130,8 +130,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER
     for label, n in sizes.items():
         part = F.when(F.col("quality") == label, share(n, sample_per_class)).otherwise(part)
     drawn = known.where(drawn_number("quality", "doc_id") < part)
-    # Twice sample_per_class rows at most, but for the luck of the draw.
+    # Twice sample_per_class rows at most, but for the luck of the draw: of rows that share a doc_id, one is taken.
     sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    sample = sample.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -505,6 +505,17 @@ def test_long_words_are_learned_whole(spark):
     assert all(r.lang_pred == r.lang for r in language.identify(docs, language.learn(docs)).collect())
 
 
+def test_repeated_rows_do_not_fill_the_sample(spark, monkeypatch):
+    rows = [(7, "one two three", "en")] * 500 + [(100 + i, f"other words {i}", "en") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert len(quality.learn(docs, labels).vectors) <= 41
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda sample: seen.extend(sample))
+    language.learn(docs, docs_per_language=1000)
+    assert 0 < len(seen) <= 41
+
+
 # Empty tables
 
 def test_empty_tables(nothing, spark):
