@@ -20,7 +20,7 @@ MIN_LANGUAGE_SCORE = 0.5
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 
-# The vote over learned labels, the tokenizer and the fingerprints are beyond SQL; tests compare with plain versions.
+# The vote over learned labels, the tokenizer and the fingerprints are beyond SQL; tests/llm/test_pipeline.py compares run() with plain versions of what stages keep.
 ORACLE_SQL = None
 
 
