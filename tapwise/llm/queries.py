@@ -11,11 +11,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapwise.llm import chat, language, lm_score, mixing, multi_index, packing, quality, simhash, token_files, top_k
-from tapwise.llm.sql import MIX_SQL
+from tapwise.llm import (
+    byte_bpe,
+    chat,
+    fill_middle,
+    language,
+    lm_score,
+    mixing,
+    multi_index,
+    packing,
+    quality,
+    simhash,
+    token_files,
+    top_k,
+    whitening,
+)
+from tapwise.llm.sql import FILL_MIDDLE_SQL, MIX_SQL
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PACK_END_ID = 2
 FILE_END_ID = 1
 
@@ -104,6 +119,28 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(whole.where("vec_id % 20 = 0"), whole, k=20)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formed = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), seed=1)
+    text = fill_middle.restored(F.col("form"), F.col("output"))
+    return formed.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -115,6 +152,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_votes": op8_quality_votes,
     "op9_language_crf": op9_language_crf,
     "op10_top_k": op10_top_k,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_whitening": op13_whitening,
 }
 
-ORACLES: dict[str, str] = {"op1_mix_sources": MIX_SQL}
+ORACLES: dict[str, str] = {"op1_mix_sources": MIX_SQL, "op12_fill_in_middle": FILL_MIDDLE_SQL}

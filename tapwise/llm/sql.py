@@ -65,3 +65,30 @@ SELECT doc_id, size, source_size, target,
                  FOR turn IN [0, 1, 2, 3]])::BIGINT AS taken
 FROM placed
 """
+
+FILL_MIDDLE_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hash
+  FROM documents),
+numbered AS (
+  SELECT *, ('0x' || substr(hash, 1, 8))::BIGINT % (n + 1) AS cut_1, ('0x' || substr(hash, 9, 8))::BIGINT % (n + 1) AS cut_2,
+         ('0x' || substr(hash, 17, 8))::BIGINT % 100 AS plain_draw, ('0x' || substr(hash, 25, 8))::BIGINT % 100 AS order_draw
+  FROM texts),
+formed AS (
+  SELECT *, least(cut_1, cut_2) AS prefix_end, greatest(cut_1, cut_2) AS middle_end,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR plain_draw >= 90 THEN 'plain'
+              WHEN order_draw < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbered),
+parts AS (
+  SELECT *, substr(text, 1, prefix_end) AS prefix, substr(text, prefix_end + 1, middle_end - prefix_end) AS middle,
+         substr(text, middle_end + 1) AS suffix
+  FROM formed)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN prefix_end END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN middle_end - prefix_end END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
