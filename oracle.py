@@ -193,6 +193,7 @@ FROM subset s
 LEFT JOIN places o ON o.operator_id = s.operator_id AND o.code = origin_location
 LEFT JOIN places d ON d.operator_id = s.operator_id AND d.code = destination_location""",
     "transfers": "SELECT * FROM moves",
+    "transfers_over_cutoff": "SELECT * FROM moves WHERE trip_2_tag_on_time >= TIMESTAMP '2024-01-05 19:30:00'",
     "product_lookup": f"SELECT {RIDE}, trip_type, contract_id, product_name FROM named",
     "program_flags": f"SELECT {RIDE}, trip_type, contract_id, start_flag, program_flag FROM priced",
     "adult_fare_lookup": f"""
@@ -211,7 +212,9 @@ SELECT {RIDE}, trip_type, operator_name, trip_1_operator AS operator_transferred
        CAST(fare - discount AS DECIMAL(18,2)) AS estimated_adult_fare_with_transfers
 FROM discounted""",
     "enriched_trips": "SELECT * FROM enriched",
+    "enriched_over_cutoff": "SELECT * FROM enriched WHERE ride_start_time >= TIMESTAMP '2024-01-05 19:30:00'",
     "enrich": "SELECT * FROM enriched",
+    "enrich_stored": "SELECT * FROM enriched",
     "all_period_trips": "SELECT DISTINCT * FROM enriched",
     "full_refresh": "SELECT DISTINCT * FROM enriched",
 }

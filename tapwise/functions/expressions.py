@@ -67,16 +67,20 @@ def minutes(n: Column) -> Column:
     return F.make_dt_interval(zero, zero, n, F.lit(0).cast("decimal(18,6)"))
 
 
-def second_number(time: str) -> Column:
-    """Whole wall-clock seconds since 1970 of a column, never through a time zone."""
-    return F.expr(_second_number(time))
+def microsecond_number(time: str) -> Column:
+    """Wall-clock microseconds since 1970 of a column, never through a time zone."""
+    return F.expr(_microsecond_number(time))
 
 
 def moment(time: str, side: str) -> Column:
     """A number to order taps by: instants are at least 4 apart, and within an instant tag-ons
     (side 0) come 1 before tag-offs (side 1)."""
+    return F.expr(f"({_microsecond_number(time)}) * 4 + {side}")
+
+
+def _microsecond_number(time: str) -> str:
     micros = f"CAST(extract(SECOND FROM {time}) * 1000000 AS BIGINT) % 1000000"
-    return F.expr(f"(({_second_number(time)}) * 1000000 + {micros}) * 4 + {side}")
+    return f"({_second_number(time)}) * 1000000 + {micros}"
 
 
 def _second_number(time: str) -> str:

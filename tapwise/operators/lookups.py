@@ -1,7 +1,8 @@
 """Reference-data lookups: what they hold, how big they are, and how they are joined.
 
-A lookup is broadcast only once its size has been measured and found small. Beyond that bound it
-is left as a shuffle join, where adaptive execution splits the partitions of a hot key.
+Lookups are broadcast only once their sizes have been measured: the smallest first, as long as all those
+broadcast stay within one bound. The others are left as shuffle joins, where adaptive execution splits the
+partitions of a hot key.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ class Lookup:
     frame: DataFrame
     keys: tuple[str, ...]
     small: bool = False
+    bytes: int = 0
 
     def attach(self, rows: DataFrame, on: Iterable[str | Column], **wanted: str) -> DataFrame:
         """Left join on `on` (one per key); `wanted` maps a new column name to a lookup column.
@@ -73,9 +75,9 @@ KEYS = {
 class Lookups:
     """The lookups named, measured together in one small job.
 
-    With `keep`, those that are themselves joins are held in the executors' storage for the jobs to
-    come, until `release`, unless some lookup is too big to broadcast. Don't keep them longer than
-    the reference data stay as they are.
+    `max_broadcast_bytes` bounds the sum of those that are broadcast. With `keep`, those of them that are
+    themselves joins are held in the executors' storage for the jobs to come, until `release`; what is too big to
+    broadcast is not. Don't keep them longer than the reference data stay as they are.
     """
 
     def __init__(
@@ -85,34 +87,40 @@ class Lookups:
         max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
         keep: bool = False,
     ):
-        self.max_broadcast_bytes = max_broadcast_bytes
         self._derived: dict[str, DataFrame] = {}
         self._keep = keep
-        frames = {name: self._frame(name, tables) for name in names}
-        sizes = measured_bytes(frames)
-        if keep and max(sizes.values()) > max_broadcast_bytes:
-            self.release()
-            self._keep, self._derived = False, {}
-            frames = {name: self._frame(name, tables) for name in names}
+        names = tuple(names)
+        sizes = measured_bytes({name: self._frame(name, tables) for name in names})
+        fitting = within_budget(sizes, max_broadcast_bytes)
+        # What plans may broadcast besides.
+        self.bytes_left = max_broadcast_bytes - sum(sizes[name] for name in fitting)
+        for source in {_source(name) for name in names if name not in fitting} & set(self._derived):
+            # Other lookups may be made of it too; it is computed for each rather than held.
+            self._derived.pop(source).unpersist()
+        self._held = list(self._derived.values()) if keep else []
+        self._keep = False
         self._by_name = {
-            name: Lookup(frame, KEYS[name], sizes[name] <= max_broadcast_bytes)
-            for name, frame in frames.items()
+            name: Lookup(self._frame(name, tables), KEYS[name], name in fitting) for name in names
         }
 
     def __getitem__(self, name: str) -> Lookup:
         return self._by_name[name]
 
     def release(self) -> None:
-        if self._keep:
-            for frame in self._derived.values():
-                frame.unpersist()
+        for frame in self._held:
+            frame.unpersist()
+
+    def longest_allowance(self) -> int:
+        """Minutes that the longest transfer may take; 0 without rules."""
+        starts = [self[name].frame for name in ("start", "unlisted_start")]
+        return max(frame.agg(F.coalesce(F.max("minutes"), F.lit(0))).first()[0] for frame in starts)
 
     def _frame(self, name: str, tables: Tables) -> DataFrame:
         match name:
             case "service" | "start":
                 return self._derive(name, tables).where("listed")
             case "unlisted_service" | "unlisted_start":
-                return self._derive(name.removeprefix("unlisted_"), tables).where("NOT listed")
+                return self._derive(_source(name), tables).where("NOT listed")
             case "location":
                 return tables.location
             case "fare":
@@ -129,6 +137,22 @@ class Lookups:
         return self._derived[name]
 
 
+def _source(name: str) -> str:
+    """The frame that a lookup is part of."""
+    return name.removeprefix("unlisted_")
+
+
+def within_budget(sizes: dict[str, int], most: int) -> set[str]:
+    """The smallest of them, as many as stay within `most` together."""
+    fitting, used = set(), 0
+    for name in sorted(sizes, key=lambda name: (sizes[name], name)):
+        used += sizes[name]
+        if used > most:
+            break
+        fitting.add(name)
+    return fitting
+
+
 def measured_bytes(frames: dict[str, DataFrame]) -> dict[str, int]:
     """Size of each frame's rows. Summed map-side, so the driver gets one number per frame."""
 

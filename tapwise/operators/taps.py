@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,15 @@ def fare_tx_subset(taps: DataFrame, since: str = V.SINCE) -> DataFrame:
     )
 
 
+def with_look_back(taps: DataFrame, since: str, minutes: int) -> DataFrame:
+    """As `fare_tx_subset`, and the tag-ons of `minutes` before `since`: those that a transfer over the cutoff
+    may have started with."""
+    cutoff = F.lit(since).cast("timestamp_ntz")
+    earlier = str(datetime.fromisoformat(since) - timedelta(minutes=minutes))
+    is_tag_on = F.col("fare_transaction_sub_type").isin(*V.TAG_ON_CODES)
+    return fare_tx_subset(taps, earlier).where((F.col("ride_start_time") >= cutoff) | is_tag_on)
+
+
 def tag_ons(subset: DataFrame, codes: Iterable[int] = V.TAG_ON_CODES) -> DataFrame:
     return subset.where(F.col("fare_transaction_sub_type").isin(*codes))
 

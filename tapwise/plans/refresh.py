@@ -2,81 +2,44 @@
 
 from __future__ import annotations
 
-import re
-import uuid
-from collections.abc import Sequence
-from datetime import UTC, datetime
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
 from tapwise.functions import values as V
 from tapwise.operators.lookups import Lookups
-from tapwise.operators.periods import all_period_trips
-from tapwise.operators.taps import card_layout
+from tapwise.plans.publish import members, publish_period
 from tapwise.plans.trips import enriched_trips
+from tapwise.sources.statistics import TapStatistics
 from tapwise.sources.tables import Tables
 
 
 def refresh(
     tables: Tables,
-    history: Sequence[DataFrame],
+    history: Mapping[str, DataFrame],
     target: str,
     since: str = V.SINCE,
     folder: str | None = None,
+    period: str = "newest",
+    statistics: TapStatistics | None = None,
+    look_back: bool = False,
 ) -> DataFrame:
-    """Rebuild the period from `since` on, merge it with `history`, and publish as view `target`.
+    """Rebuild the period from `since` on, and publish it with all earlier ones as view `target`.
 
-    Only the result is written, once, into a table of its own, placed by card and sorted by time, so
-    that readers of some cards or days skip the other files. The view is switched to it when it is
-    complete, so readers always find a whole table, and a failed run changes nothing and leaves no
-    files. The version before is kept for readers still on it; older ones go, with their files.
-
-    Versions go under `folder`, which must be shared storage, or else to the warehouse.
+    `history` names the earlier periods. Those that `target` does not have yet are stored first; those it has
+    are neither read nor written again. So a refresh costs what the newest period costs, however long
+    the history. `plans.publish` says how each is stored, switched and replaced; `statistics` and
+    `look_back` are those of `plans.trips.enriched_trips`.
     """
     spark = tables.taps.sparkSession
+    if period in history:
+        raise ValueError(f"{period!r} is the period to rebuild, and can't be an earlier one")
+    for name, rows in history.items():
+        if name not in members(spark, target):
+            publish_period(rows, target, name, folder)
     lookups = Lookups(tables, keep=True)
-    stamp = f"{datetime.now(UTC):%Y%m%d%H%M%S%f}"
-    version = f"{target}__{stamp}_{uuid.uuid4().hex[:8]}"
-    place = None if folder is None else f"{folder.rstrip('/')}/{version.rpartition('.')[2]}"
     try:
-        newest = enriched_trips(tables, since, lookups)
-        writer = card_layout(all_period_trips([*history, newest])).write.format("parquet")
-        if place is not None:
-            writer = writer.option("path", place)
-        writer.saveAsTable(version)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {version}")
-        if place is not None:
-            _delete(spark, place)
-        raise
+        newest = enriched_trips(tables, since, lookups, statistics=statistics, look_back=look_back)
+        return publish_period(newest, target, period, folder)
     finally:
         lookups.release()
-    spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {version}")
-    for old in [v for v in _versions(spark, target) if v != version][:-1]:
-        _drop(spark, old)
-    return spark.table(target)
-
-
-def _versions(spark, target: str) -> list[str]:
-    """Tables that `refresh` made for `target`, oldest first; no others are named like them."""
-    database, _, name = target.rpartition(".")
-    own = re.compile(rf"{re.escape(name.lower())}__\d{{20}}_[0-9a-f]{{8}}")
-    prefix = f"{database}." if database else ""
-    return sorted(
-        prefix + t.name
-        for t in spark.catalog.listTables(database or None)
-        if t.tableType != "VIEW" and own.fullmatch(t.name)
-    )
-
-
-def _drop(spark, version: str) -> None:
-    """The table, and its files, which the catalog leaves where it did not choose the place."""
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {version}").where("col_name = 'Location'").first()
-    spark.sql(f"DROP TABLE IF EXISTS {version}")
-    if details and details["data_type"].rstrip("/").rpartition("/")[2] == version.rpartition(".")[2]:
-        _delete(spark, details["data_type"])
-
-
-def _delete(spark, place: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(place)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

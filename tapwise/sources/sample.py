@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapwise.operators.lookups import Lookups
+from tapwise.sources.statistics import TapStatistics, count_taps, summed_up
 from tapwise.sources.tables import Tables
 
 PARTICIPANTS = (
@@ -227,3 +228,20 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
 def sample_lookups(spark: SparkSession) -> Lookups:
     """All lookups, made once per session; they don't depend on the taps."""
     return Lookups(Tables(taps=None, **reference_tables(spark)), keep=True)
+
+
+_statistics: dict[tuple, TapStatistics] = {}
+
+
+def sample_statistics(tables: Tables) -> TapStatistics:
+    """The taps' statistics, held by the executors and found once for each state of the files that the taps are made of."""
+    spark = tables.taps.sparkSession
+    files = []
+    for name in sorted(tables.taps.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        files.append((name, status.getLen(), status.getModificationTime()))
+    key = (spark.sparkContext.applicationId, *files)
+    if key not in _statistics:
+        _statistics[key] = summed_up(count_taps(tables.taps).persist())
+    return _statistics[key]

@@ -97,3 +97,16 @@ def write_table(frame: DataFrame, where: str) -> None:
         writer.save(where)
     else:
         writer.saveAsTable(where)
+
+
+def write_buckets(frame: DataFrame, table: str, keys: tuple[str, ...], buckets: int, folder: str | None = None) -> None:
+    """Stores a frame as a catalog table of so many buckets by `keys`, one file each, sorted by them.
+
+    Tables with as many buckets by keys of the same kinds are joined on these without a shuffle of either. Files go
+    under `folder`, which must be shared storage, or else to the warehouse. Replaces what is there.
+    """
+    placed = frame.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    writer = placed.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    if folder is not None:
+        writer = writer.option("path", f"{folder.rstrip('/')}/{table.rpartition('.')[2]}")
+    writer.saveAsTable(table)

@@ -1,0 +1,66 @@
+"""Merging periods: only rows that several may have are compared."""
+
+import re
+from collections import Counter
+from datetime import datetime
+
+import pytest
+from worlds import make_tables, random_world
+
+from pyspark.sql import functions as F
+
+from tapwise.operators.periods import Span, all_period_trips, overlaps, shared_rows, spans_of
+from tapwise.plans import trips
+
+
+def day(n):
+    return datetime(2024, 1, n)
+
+
+def test_overlaps():
+    assert overlaps([]) == overlaps([Span(day(1), day(9))]) == overlaps([Span(None, None, True)] * 2) == []
+    assert overlaps([Span(day(1), day(3)), Span(day(4), day(6)), Span(None, None)]) == []
+    assert overlaps([Span(day(1), day(3)), Span(day(3), day(6))]) == [(day(3), day(3))]
+    assert overlaps([Span(day(1), day(20)), Span(day(3), day(5)), Span(day(4), day(8)), Span(day(10), day(30))]) == [
+        (day(3), day(8)), (day(10), day(20)),
+    ]
+    assert shared_rows([Span(day(1), day(2), True), Span(day(3), day(4))]) is None
+    assert shared_rows([Span(None, None, True), Span(day(3), day(4), True)]) == "coalesce(false, true)"
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    found = trips.enriched_trips(make_tables(spark, **random_world(5))).distinct()
+    nobody = F.when(F.col("card_id").isNotNull(), F.col("ride_start_time"))
+    return found.withColumn("ride_start_time", nobody).distinct().persist()
+
+
+@pytest.mark.parametrize("cuts", [(), (0.5,), (0.3, 0.6)])
+def test_all_rows_once(table, cuts):
+    times = sorted(r[0] for r in table.select("ride_start_time").collect() if r[0])
+    at = [None, *(F.lit(str(times[int(c * len(times))])).cast("timestamp_ntz") for c in cuts), None]
+    early = F.lit(str(times[len(times) // 10])).cast("timestamp_ntz")
+    periods = []
+    for start, end in zip(at, at[1:]):
+        part = table if start is None else table.where((F.col("ride_start_time") >= start) | (F.col("ride_start_time") < early))
+        periods.append(part if end is None else part.where((F.col("ride_start_time") <= end) | F.col("ride_start_time").isNull()))
+    want = Counter(map(repr, table.collect()))
+    for spans in (None, spans_of(periods)):
+        found = all_period_trips(periods, sets=True, spans=spans)
+        assert Counter(map(repr, found.collect())) == want
+    assert Counter(map(repr, all_period_trips(periods + periods).collect())) == want
+
+
+def test_only_overlaps_are_shuffled(table, spark, tmp_path, capsys):
+    middle = F.lit(str(sorted(r[0] for r in table.select("ride_start_time").collect() if r[0])[100])).cast("timestamp_ntz")
+    for name, rows in {"a": F.col("ride_start_time") < middle, "b": F.col("ride_start_time") >= middle, "c": F.lit(True)}.items():
+        table.where(rows).write.parquet(f"{tmp_path}/{name}")
+    a, b, c = (spark.read.parquet(f"{tmp_path}/{n}") for n in "abc")
+    all_period_trips([a, b], sets=True).explain()
+    assert "Exchange" not in capsys.readouterr().out
+    all_period_trips([a, c], sets=True).explain()
+    plan = capsys.readouterr().out
+    # What lies outside goes from the file to the union; what is compared is filtered before its exchange.
+    assert len(re.findall("Exchange", plan)) == 1
+    alone, several = plan.split("Exchange")
+    assert alone.count("NOT coalesce") >= 2 and "Filter coalesce" in several and "NOT coalesce" not in several

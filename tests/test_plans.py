@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from tapwise.operators import taps
-from tapwise.operators.linking import Slices, heavy_cards
-from tapwise.operators.lookups import Lookups
+from tapwise.operators.enrich import join_transfers
+from tapwise.operators.linking import heavy_cards
+from tapwise.operators.lookups import Lookups, measured_bytes
+from tapwise.operators.transfers import transfers
 from tapwise.plans import trips
-from tapwise.sources.sample import sample_lookups, sample_tables
 from tapwise.schema import TAP_COLUMNS
+from tapwise.sources.sample import sample_lookups, sample_statistics, sample_tables
+from tapwise.sources.statistics import TapStatistics
 from tapwise.sources.tables import Tables, conform, read_tables, write_table
 
 
@@ -80,25 +83,29 @@ def test_cards_without_a_number_are_not_heavy(spark):
     assert heavy_cards(taps_of_nobody, 5).count() == 0
 
 
-@pytest.mark.parametrize(("slice_rows", "shuffles"), [(1_000_000, 1), (20, 2)])
-def test_taps_are_shuffled_once_unless_a_card_is_heavy(spark, sf_dir, capsys, slice_rows, shuffles):
+@pytest.mark.parametrize("heavy", [False, True])
+def test_taps_are_shuffled_once_and_those_of_heavy_cards_twice(spark, sf_dir, capsys, heavy):
     tables = sample_tables(spark, sf_dir)
     subset = taps.fare_tx_subset(tables.taps)
-    linked = trips.trips_with_context(subset, tables, sample_lookups(spark), slice_rows)
-    for frame in (trips.trips(subset, slice_rows), linked):
+    counted = sample_statistics(tables)
+    slice_rows = sorted(r.taps for r in counted.frame.collect())[-3] if heavy else counted.largest
+    statistics = TapStatistics(counted.frame, counted.largest, 0)
+    linked = trips.trips_with_context(subset, tables, sample_lookups(spark), slice_rows, statistics)
+    for frame in (trips.trips(subset, slice_rows, statistics), linked):
         frame.explain()
         plan = capsys.readouterr().out
-        assert len(re.findall(r"Exchange hashpartitioning\(.*card_id#", plan)) == shuffles
-        assert len(re.findall(r"Sort \[card_id#", plan)) == 1
-        assert "SortMergeJoin" not in plan
+        exchanges = [e for e in re.findall(r"Exchange hashpartitioning\((.*)", plan) if "card_id#" in e]
+        # By card or ride: one for ordinary cards; heavy ones have another, by whole rows.
+        assert len(exchanges) == (3 if heavy else 1)
+        assert sum(e.count("#") > 10 for e in exchanges) == (1 if heavy else 0)
+        assert len(re.findall(r"Sort \[card_id#", plan)) == (2 if heavy else 1)
+        assert "SortMergeJoin" not in plan and "collect_set" not in plan
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", registered._QUERIES)
 def test_no_pairs_and_no_python(spark, sf_dir, name, capsys):
-    if name == "full_refresh":
-        pytest.skip("its result is read from storage")
     plan = plan_of(registered.queries()[name](spark, sf_dir), capsys)
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "CollectLimit"):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InArrow", "InPandas", "CollectLimit", "collect_set"):
         assert bad not in plan
 
 
@@ -109,12 +116,55 @@ def test_broadcast_only_what_is_small(spark, capsys):
     assert not any(big[n].small for n in ("service", "fare", "location"))
 
 
-def test_heavy_cards_are_cut(spark):
-    tables = make_tables(spark, **random_world(3))
-    lookups = Lookups(tables)
-    known = trips.known_taps(taps.fare_tx_subset(tables.taps))
-    assert Slices.of(known, lookups) == Slices()
-    cut = Slices.of(known, lookups, slice_rows=10)
-    sizes = cut.place(known).where("card_id IS NOT NULL").groupBy("card_id", "slice").count()
-    assert sizes.count() > 4
-    assert cut.before.frame.count() > 0
+def test_lookups_share_one_budget(spark):
+    tables = make_tables(spark, **random_world(2))
+    names = ("coupon", "location", "fare")
+    sizes = measured_bytes({n: Lookups(tables, names)[n].frame for n in names})
+    least, middle, most = sorted(names, key=sizes.get)
+    assert 0 < sizes[least] <= sizes[middle] < sizes[most]
+    two = Lookups(tables, names, sizes[least] + sizes[middle], keep=True)
+    assert [two[n].small for n in (least, middle, most)] == [True, True, False]
+    assert two.bytes_left == 0
+    assert Lookups(tables, names, sizes[least])[middle].small is False
+    two.release()
+
+
+def test_only_what_is_broadcast_is_kept(spark):
+    tables = make_tables(spark, **random_world(2))
+    names = ("coupon", "service", "unlisted_service")
+    sizes = measured_bytes({n: Lookups(tables, names)[n].frame for n in names})
+    kept = Lookups(tables, names, sizes["coupon"], keep=True)
+    assert kept["coupon"].small and not kept["service"].small
+    assert len(kept._held) == 1
+    want = sorted(map(repr, Lookups(tables, names)["service"].frame.collect()))
+    assert sorted(map(repr, kept["service"].frame.collect())) == want
+    kept.release()
+
+
+def test_plans_with_statistics_start_no_job(spark, sf_dir):
+    tables, lookups = sample_tables(spark, sf_dir), sample_lookups(spark)
+    statistics = sample_statistics(tables)
+    spark.sparkContext.setJobGroup("planning", "")
+    try:
+        ons = taps.tag_ons(taps.fare_tx_subset(tables.taps))
+        transfers(ons, tables, lookups, statistics=statistics)
+        trips.enriched_trips(tables, lookups=lookups, statistics=statistics)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_stored_trips_and_transfers_are_joined_where_they_are(spark, sf_dir, capsys):
+    tables = sample_tables(spark, sf_dir)
+    found = registered._transfers(tables)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = trips.store_for_enrich(registered._trips(tables), found, ("bucketed_trips", "bucketed_transfers"), 4)
+        plan = plan_of(join_transfers(*stored), capsys)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert "Exchange" in plan_of(join_transfers(registered._trips(tables), found), capsys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        for name in ("bucketed_trips", "bucketed_transfers"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
