@@ -8,7 +8,7 @@ partitions of a hot key.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +30,8 @@ class Lookup:
     keys: tuple[str, ...]
     small: bool = False
     bytes: int = 0
+    # What has been attached before, ready to be joined again: plans ask for the same columns each time.
+    _sides: dict[tuple, DataFrame] = field(default_factory=dict, compare=False, repr=False)
 
     def attach(self, rows: DataFrame, on: Iterable[str | Column], **wanted: str) -> DataFrame:
         """Left join on `on` (one per key); `wanted` maps a new column name to a lookup column.
@@ -37,12 +39,14 @@ class Lookup:
         The lookup's keys stay in the result under names of their own, for the last select to drop.
         """
         key_names = [f"_{next(iter(wanted))}_key_{i}" for i in range(len(self.keys))]
-        side = self.frame.select(
-            *[F.col(key).alias(name) for key, name in zip(self.keys, key_names)],
-            *[F.col(source).alias(name) for name, source in wanted.items()],
-        )
-        if self.small:
-            side = F.broadcast(side)
+        asked = tuple(wanted.items())
+        if asked not in self._sides:
+            side = self.frame.select(
+                *[F.col(key).alias(name) for key, name in zip(self.keys, key_names)],
+                *[F.col(source).alias(name) for name, source in asked],
+            )
+            self._sides[asked] = F.broadcast(side) if self.small else side
+        side = self._sides[asked]
         matches = [
             (F.col(left) if isinstance(left, str) else left) == F.col(name)
             for left, name in zip(on, key_names, strict=True)
