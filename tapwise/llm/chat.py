@@ -64,9 +64,17 @@ READ_SCHEMA = (
 
 
 def field_paths(value: Any, at: str = "") -> set[str]:
-    """The paths of a parsed record's leaves; items of a list share theirs, and an empty list or object is a leaf."""
+    """The paths of a parsed record's leaves; items of a list share theirs, and an empty list or object is a leaf.
+
+    Names that hold what paths are made of are quoted, so that no two fields have the same path.
+    """
+
+    def named(key: str) -> str:
+        key = json.dumps(key) if not key or any(mark in key for mark in '.[]"\n') else key
+        return f"{at}.{key}" if at else key
+
     if isinstance(value, dict) and value:
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in value.items()))
+        return set().union(*(field_paths(v, named(k)) for k, v in value.items()))
     if isinstance(value, list) and value:
         return set().union(*(field_paths(v, f"{at}[]") for v in value))
     return {at}
@@ -86,6 +94,19 @@ def _text(record: Any, path: str | list[str]) -> str:
     return "" if value is None else value if isinstance(value, str) else json.dumps(value)
 
 
+def _is_long(number: Any) -> bool:
+    """Null counts as one."""
+    return number is None or type(number) is int and -(2**63) <= number < 2**63
+
+
+def _is_text(text: str) -> bool:
+    try:
+        text.encode()
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def canonical_turns(
     records: DataFrame, layouts: dict[str, dict[str, Any]] | None = None, ignored: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -93,32 +114,36 @@ def canonical_turns(
 
     The field paths of a record, without those `ignored`, are hashed; the hash selects the
     layout that says where role and text are. `conv_id` comes from the record. Null and missing
-    texts and roles are empty. A record that is not JSON, or of no known layout, gives one row
-    with null layout, turn, role and text, so that nothing is lost unseen. A list of no messages
-    has no turns: it is of no known layout. Repeated records give repeated turns; an empty table none.
+    texts and roles are empty. A record that is not JSON or nested too deep to read, or of no known layout, gives one
+    row with null layout, turn, role and text, so that nothing is lost unseen; and so does one with a turn's number or a
+    conv_id that is no whole number of 64 bits (a conv_id of another kind is null), or with half of a surrogate pair in
+    a turn, which is no text. A list of no messages has no turns: it is of no known layout. Repeated records give
+    repeated turns; an empty table none.
     """
     layouts = LAYOUTS if layouts is None else layouts
     known = {fingerprint(set(layout["paths"])): name for name, layout in layouts.items()}
 
-    def turns(record: str | None) -> Iterator[tuple]:
+    def turns(record: str | None) -> list[tuple]:
         try:
             parsed = json.loads(record or "")
             marked = fingerprint(field_paths(parsed) - set(ignored))
-        except ValueError:
-            parsed, marked = None, None
+        except (ValueError, RecursionError):
+            return [(None, None, None, None, None, None)]
         conv_id = parsed.get("conv_id") if isinstance(parsed, dict) else None
-        conv_id = conv_id if isinstance(conv_id, int) else None
+        conv_id = conv_id if type(conv_id) is int else None
         name = known.get(marked)
-        if name is None:
-            yield conv_id, None, None, None, None, marked
-            return
-        layout, number = layouts[name], 0
+        lost = [(conv_id if _is_long(conv_id) else None, None, None, None, None, marked)]
+        if name is None or not _is_long(conv_id):
+            return lost
+        layout, found = layouts[name], []
         for item in parsed[layout["each"]] if "each" in layout else [parsed]:
             for turn in layout["turns"]:
-                at = item.get(turn["number"]) if "number" in turn else number
-                role = _text(item, turn["role"])
-                yield conv_id, at, ROLES.get(role, role), _text(item, turn["text"]), name, marked
-                number += 1
+                at = item.get(turn["number"]) if "number" in turn else len(found)
+                role, text = _text(item, turn["role"]), _text(item, turn["text"])
+                if not _is_long(at) or "\\u" in record and not (_is_text(role) and _is_text(text)):
+                    return lost
+                found.append((conv_id, at, ROLES.get(role, role), text, name, marked))
+        return found
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.int64(), *[pa.string()] * 4]

@@ -6,223 +6,250 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapwise.llm.scratch import stored
+from tapwise.llm.tokens import encoder
 
-# What stands before a text's first word and after its last; words are known by 64 bits of hash.
-BOUND, END = 1, 2
-CODE_POINTS = 0x110000
-SPACES = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-# Scripts without spaces, in which every character is a word: Thai, Lao, Burmese, Khmer, kana, Han.
-UNSPACED = [(0xE00, 0xF00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3040, 0x3100), (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00), (0x20000, 0x40000)]
-_IN_SPACE, _ALONE = 1, 2
-
-
-def _kinds() -> np.ndarray:
-    kinds = np.zeros(CODE_POINTS, np.uint8)
-    kinds[SPACES] = _IN_SPACE
-    for first, end in UNSPACED:
-        kinds[first:end] = _ALONE
-    return kinds
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Spreads 64-bit numbers, each to another."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def word_hashes(texts: list[str | None], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words of all texts in turn, and how many each text has."""
-    sizes = np.array([len(text or "") for text in texts], np.int64)
-    points = np.frombuffer("".join(text or "" for text in texts).encode("utf-32-le", "surrogatepass"), "<u4")
-    if not len(points):
-        return np.empty(0, np.int64), np.zeros(len(texts), np.int64)
-    kind = kinds[points]
-    first = np.ones(len(points), bool)
-    first[1:] = (kind[1:] == _ALONE) | (kind[:-1] != 0)
-    begins = np.cumsum(sizes) - sizes
-    first[begins[sizes > 0]] = True
-    first &= kind != _IN_SPACE
-    starts = np.flatnonzero(first)
-    if not len(starts):
-        return np.empty(0, np.int64), np.zeros(len(texts), np.int64)
-    # What stands before the first word is space, which adds nothing to any hash.
-    length = np.diff(starts, append=len(points))
-    place = np.arange(starts[0], len(points)) - np.repeat(starts, length)
-    parts = _mix(points[starts[0] :] + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    parts[kind[starts[0] :] == _IN_SPACE] = 0
-    hashes = _mix(np.add.reduceat(parts, starts - starts[0])).view(np.int64)
-    owner = np.searchsorted(begins + sizes, starts, side="right")
-    return hashes, np.bincount(owner, minlength=len(texts))
-
-
-def _trigrams(texts: list[str | None], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The trigram that ends at each word and at each text's end, as three columns, and each text's number of them."""
-    hashes, words = word_hashes(texts, kinds)
-    begin = np.cumsum(words + 3) - (words + 3)
-    row = np.full(len(hashes) + 3 * len(texts), BOUND, np.int64)
-    row[begin + words + 2] = END
-    row[np.arange(len(hashes)) + 3 * np.repeat(np.arange(len(texts)), words) + 2] = hashes
-    keep = np.ones(len(row), bool)
-    keep[begin] = keep[begin + 1] = False
-    at = np.flatnonzero(keep)
-    return row[at - 2], row[at - 1], row[at], words + 1
-
-
-def _chunks(batch: pa.RecordBatch, chars: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
-    """Texts in slices of about so many characters, with the number of the first."""
-    held, first, size = [], 0, 0
-    for i, text in enumerate(batch.column("text").to_pylist()):
-        held.append(text)
-        size += len(text or "")
-        if size > chars:
-            yield first, held
-            held, first, size = [], i + 1, 0
-    if held:
-        yield first, held
-
-
-def gram_counts(docs: DataFrame, target: DataFrame, order: int) -> DataFrame:
-    """How often each n-gram of `order` words ends at a word or a text's end: `u`, `v`, `w`, `background`, `target`.
-
-    Counted over the whole of all texts of both; a shorter n-gram's first words are 0. Each task adds up
-    what it has of a slice of texts, so that a frequent n-gram is a row a slice.
-    """
+# Texts are encoded in slices of so many characters, and counted in parts of so many.
+SLICE_CHARS = 1_000_000
+PART_CHARS = 24_000_000
+SIDES = ("background", "target")
+
+_COUNTS = "part long, context int, last int, n long"
+_SLICES = "part long, docs array<long>, sizes array<int>, ids binary"
+_SCORES = "doc_id long, n_tokens long, loss_target double, loss_background double"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = _kinds()
-        for batch in batches:
-            for _, texts in _chunks(batch):
-                u, v, w, _ = _trigrams(texts, kinds)
-                u, v = (u if order > 2 else np.zeros_like(u)), (v if order > 1 else np.zeros_like(v))
-                code = _mix(_mix(_mix(u.view(np.uint64)) + v.view(np.uint64)) + w.view(np.uint64))
-                _, at, n = np.unique(code, return_index=True, return_counts=True)
-                columns = [pa.array(c) for c in (u[at], v[at], w[at], n)]
-                yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "w", "n"])
-
-    counted = [rows.select("text").mapInArrow(count, "u long, v long, w long, n long") for rows in (docs, target)]
-    none = F.lit(0).cast("long")
-    return counted[0].select("u", "v", "w", F.col("n").alias("background"), none.alias("target")).unionAll(
-        counted[1].select("u", "v", "w", none.alias("background"), F.col("n").alias("target"))
-    )
 
+def vocabulary_size(path: str) -> int:
+    """Of what may come next: every token, and a text's end, which is the number after the last token's."""
+    return encoder(path).tokenizer.get_vocab_size(with_added_tokens=True) + 1
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Minus the log probability of each third code after the two before it.
 
-    Each order is interpolated with the next lower one by Witten and Bell's weights, the lowest
-    with the uniform distribution.
+def _slices(
+    batches: Iterator[pa.RecordBatch], path: str, size: int, part_chars: int
+) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+    """Of some texts at once: their part, doc_ids, numbers of tokens with the end, and all tokens in turn.
+
+    `part` says where a task's rows are scanned: its partition in the upper half, and after how many characters in the lower.
+    So it is the same in every scan of the same files.
+    """
+    coding, slice_chars = encoder(path), min(SLICE_CHARS, part_chars)
+    seen = 0
+    for batch in batches:
+        length = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(length)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + slice_chars, "right")))
+            own = [np.frombuffer(ids, "<u4") for ids in coding.encode(batch.column("text").slice(at, end - at))]
+            sizes = np.array([len(ids) + 1 for ids in own], np.int32)
+            tokens = np.full(int(sizes.sum()), size - 1, np.int64)
+            place = np.ones(len(tokens), bool)
+            place[np.cumsum(sizes) - 1] = False
+            tokens[place] = np.concatenate(own)
+            part = int(batch.column("task")[0].as_py()) << 32 | seen // part_chars
+            yield part, batch.column("doc_id").slice(at, end - at), sizes, tokens
+            seen += int(ends[end - 1] - before)
+            at = end
+
+
+def _bigrams(sizes: np.ndarray, tokens: np.ndarray, size: int) -> np.ndarray:
+    """Each token with the one before it, as one number; before a text's first stands `size`."""
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[np.cumsum(sizes) - sizes] = size
+    return before * size + tokens
+
+
+class _Counts:
+    """Sorted bigrams and how often each was added; new ones are merged in when they have become many."""
+
+    def __init__(self):
+        self.codes, self.n = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.fresh: list[np.ndarray] = []
+        self.waiting = 0
+
+    def add(self, codes: np.ndarray) -> None:
+        self.fresh.append(codes)
+        self.waiting += len(codes)
+        if self.waiting > 4_000_000:
+            self.merge()
+
+    def merge(self) -> None:
+        if not self.waiting:
+            return
+        codes, n = np.unique(np.concatenate(self.fresh), return_counts=True)
+        every = np.concatenate([self.codes, codes])
+        order = np.argsort(every, kind="stable")
+        first = np.flatnonzero(np.diff(every[order], prepend=-1))
+        self.n = np.add.reduceat(np.concatenate([self.n, n])[order], first)
+        self.codes = every[order][first]
+        self.fresh, self.waiting = [], 0
+
+
+def bigram_counts(texts: DataFrame, path: str, part_chars: int = PART_CHARS) -> DataFrame:
+    """How often a token follows another in each part of `texts` (doc_id, text, task): _COUNTS.
+
+    Counted over whole texts; a part is what one task reads, or some `part_chars` of it, and is added up there.
     """
-    chance = np.full(counts.shape[-1], 1 / counts.shape[-1])
-    for order in (counts.sum(axis=(0, 1)), counts.sum(axis=0), counts):
-        kinds = (order > 0).sum(axis=-1, keepdims=True)
-        total = order.sum(axis=-1, keepdims=True)
-        with np.errstate(invalid="ignore"):
-            mixed = (order + kinds * chance) / (total + kinds)
-        chance = np.where(total > 0, mixed, chance)
-    return -np.log(chance)
+    size = vocabulary_size(path)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counts = None, _Counts()
 
-SIDES = ("background", "target")
+        def done() -> Iterator[pa.RecordBatch]:
+            counts.merge()
+            for at in range(0, len(counts.codes), 100_000):
+                codes, n = counts.codes[at : at + 100_000], counts.n[at : at + 100_000]
+                columns = [np.full(len(n), now), (codes // size).astype(np.int32), (codes % size).astype(np.int32), n]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "context", "last", "n"])
 
+        for part, _, sizes, tokens in _slices(batches, path, size, part_chars):
+            if part != now:
+                yield from done()
+                now, counts = part, _Counts()
+            counts.add(_bigrams(sizes, tokens, size))
+        yield from done()
 
-def _summed(grams: DataFrame, context: Column, last: Column) -> DataFrame:
-    """Counts by context and last words, with each context's total and number of different n-grams."""
-    rows = grams.select(context.alias("context"), last.alias("last"), *SIDES).repartition("context")
-    rows = rows.groupBy("context", "last").agg(*[F.sum(side).alias(side) for side in SIDES])
-    whole = Window.partitionBy("context")
-    for side in SIDES:
-        rows = rows.withColumn(f"{side}_total", F.sum(side).over(whole))
-        rows = rows.withColumn(f"{side}_kinds", F.sum((F.col(side) > 0).cast("long")).over(whole))
-    return rows
+    return texts.mapInArrow(count, _COUNTS)
 
 
-def _chance(side: str, scale: float, lower: Column) -> Column:
-    """As in `losses`: the n-gram's chance, interpolated with that of the next lower order."""
-    n, total, kinds = F.col(side) * F.lit(scale), F.col(f"{side}_total") * F.lit(scale), F.col(f"{side}_kinds")
-    return F.when(F.col(f"{side}_total") > 0, (n + kinds * lower) / (total + kinds)).otherwise(lower)
+def _chance(side: str, scale: float, total: Column, kinds: Column, lower: Column) -> Column:
+    """Witten and Bell's: how often it was seen, and as many times as there were different ones the lower order's chance."""
+    n = F.col(side) * F.lit(scale)
+    return F.when(total > 0, (n + kinds * lower) / (total * F.lit(scale) + kinds)).otherwise(lower)
 
 
-def gram_losses(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """One row for each trigram of both corpora: its key `gram`, and its loss under either model.
+def bigram_losses(counts: DataFrame, size: int) -> DataFrame:
+    """Minus the log chance of every bigram of `counts` (context, last, background, target) under either model.
 
-    The vocabulary is every word of both and a text's end. Sums and joins are shuffled; only the size of the
-    vocabulary and of the corpora comes to the driver.
+    Each order is interpolated with the next lower one, the lowest with the uniform distribution over `size` tokens.
+    Totals by token are at most `size` rows, whatever the corpus; they are what is broadcast.
     """
-    words = gram_counts(docs, target, 1).groupBy("w").agg(*[F.sum(side).alias(side) for side in SIDES])
-    words = stored(words)
-    found = words.agg(
-        F.count(F.lit(1)).alias("words"),
-        *[F.coalesce(F.sum(side), F.lit(0)).alias(side) for side in SIDES],
-        *[F.count(F.when(F.col(side) > 0, 1)).alias(f"{side}_kinds") for side in SIDES],
-    ).first()
+    sums = [F.sum(side).alias(f"{side}_total") for side in SIDES]
+    kinds = [F.sum((F.col(side) > 0).cast("long")).alias(f"{side}_kinds") for side in SIDES]
+    ones = stored(counts.groupBy("last").agg(*[F.sum(side).alias(side) for side in SIDES]))
+    found = ones.agg(*[F.coalesce(s, F.lit(0)).alias(n) for s, n in zip((F.sum("background"), F.sum("target")), SIDES)], *kinds).first()
     # Without any target text both models are the background's.
     own = {side: side if found[side] else "background" for side in SIDES}
     least = min(found[own[side]] for side in SIDES)
     scale = {side: least / found[own[side]] if least else 1.0 for side in SIDES}
-
-    ones = words.select("w", *SIDES)
     for side in SIDES:
-        ones = ones.withColumn(f"{side}_total", F.lit(found[side])).withColumn(f"{side}_kinds", F.lit(found[f"{side}_kinds"]))
-    uniform = F.lit(1 / max(1, found["words"]))
-    ones = ones.select("w", *[_chance(own[side], scale[side], uniform).alias(f"{side}_lower") for side in SIDES])
+        whole, different = (F.lit(found[own[side]]), F.lit(found[f"{own[side]}_kinds"]))
+        ones = ones.withColumn(f"{side}_lower", _chance(own[side], scale[side], whole, different, F.lit(1 / size)))
+    ones = ones.select("last", *[f"{side}_lower" for side in SIDES])
+    contexts = counts.groupBy("context").agg(*sums, *kinds)
+    joined = counts.join(F.broadcast(contexts), "context").join(F.broadcast(ones), "last")
+    losses = []
+    for side in SIDES:
+        total, different = F.col(f"{own[side]}_total"), F.col(f"{own[side]}_kinds")
+        chance = _chance(own[side], scale[side], total, different, F.col(f"{side}_lower"))
+        losses.append((-F.log(chance)).alias(f"loss_{side}"))
+    return joined.select("context", "last", *losses)
 
-    pairs = _summed(gram_counts(docs, target, 2), F.col("v"), F.col("w")).join(
-        ones.withColumnRenamed("w", "last").hint("merge"), "last"
-    )
-    pairs = pairs.select(
-        F.xxhash64("context", "last").alias("last"),
-        *[_chance(own[side], scale[side], F.col(f"{side}_lower")).alias(f"{side}_lower") for side in SIDES],
-    )
-    triples = _summed(gram_counts(docs, target, 3), F.xxhash64("u", "v"), F.xxhash64("v", "w")).join(pairs.hint("merge"), "last")
-    return triples.select(
-        F.xxhash64("context", "last").alias("gram"),
-        *[(-F.log(_chance(own[side], scale[side], F.col(f"{side}_lower")))).alias(f"loss_{side}") for side in SIDES],
-    )
 
+def score(docs: DataFrame, target: DataFrame, path: str, part_chars: int = PART_CHARS) -> DataFrame:
+    """Per document its loss under the target and the background model, for each of its tokens and its end.
 
-def score(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """Per document its loss under the target and the background model, for each of its characters and its end.
+    Tokens are ids by the vocabulary file at `path`, which both models share; the models are of bigrams. The background model
+    is trained on all of `docs` (doc_id, text), the target model on all of `target` (text). They are matched: one vocabulary, one
+    order, one smoothing, and the larger corpus's counts scaled to the mass of the smaller one, so that neither gains
+    by its size. A document's loss is the sum over its tokens and its end, divided by `n_tokens`, their number.
+    `score` is loss_target - loss_background: the mean of what each token loses by it; the lower, the more like the target.
 
-    The models are of trigrams of words: runs of characters that are not space, and single characters in
-    scripts without spaces. The background model is trained on all of `docs`, the target model on
-    all of `target`, both (.., text). They are matched: one vocabulary, that of both, one order, one smoothing, and
-    the larger corpus's counts scaled to the mass of the smaller one, so that neither gains by its size. A
-    document's loss is the sum of its words' losses and that of its end; it is divided by `n_tokens`, its number of
-    characters and its end. `score` is loss_target - loss_background; the lower it is, the more like the target.
+    Texts are encoded and counted where they are read, part by part. Each different bigram of a part is a row:
+    they are added up over all parts, its losses are looked up and sent to the part, and there the part's texts are
+    scored, streamed past their losses. No row is shuffled for each occurrence. `docs` must be a scan of files
+    or something else that has the same rows in the same partitions each time; if not, the job ends with an error.
 
     A null or empty text has one token, its end. With no target texts both models are the same and every
-    score is 0. Repeated rows are scored each; an empty table gives no rows. Other columns are not used.
+    score is 0. Repeated rows are scored each; an empty table gives no rows. Other columns are not used. A single text
+    is encoded whole, so one of very many millions of characters needs an executor that holds some ten times its size.
     """
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = _kinds()
-        for batch in batches:
-            for first, texts in _chunks(batch):
-                u, v, w, each = _trigrams(texts, kinds)
-                owner = np.repeat(np.arange(len(texts)), each)
-                own = batch.column("row").slice(first, len(texts)).take(pa.array(owner))
-                # What is known once of a text stands at its end only.
-                key = batch.column("doc_id").slice(first, len(texts)).take(pa.array(owner, mask=w != END))
-                tokens = np.zeros(len(w), np.int64)
-                tokens[np.cumsum(each) - 1] = [len(text or "") + 1 for text in texts]
-                columns = [own, key, *[pa.array(c) for c in (u, v, w, tokens)]]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "u", "v", "w", "n_tokens"])
-
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    grams = rows.mapInArrow(listed, "row long, doc_id long, u long, v long, w long, n_tokens long").select(
-        "row", "doc_id", "n_tokens", F.xxhash64(F.xxhash64("u", "v"), F.xxhash64("v", "w")).alias("gram")
+    size = vocabulary_size(path)
+    task = F.spark_partition_id().alias("task")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", task)
+    wanted = target.select(F.lit(None).cast("long").alias("doc_id"), "text", task)
+    parts = stored(bigram_counts(rows, path, part_chars))
+    none = F.lit(0).cast("long")
+    both = parts.select("context", "last", F.col("n").alias("background"), none.alias("target")).unionAll(
+        bigram_counts(wanted, path, part_chars).select("context", "last", none.alias("background"), F.col("n").alias("target"))
     )
-    # Neither side is ever small: a shuffle join, in which adaptive execution splits frequent n-grams.
-    scored = grams.join(gram_losses(docs, target).hint("merge"), "gram")
-    sums = scored.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum("n_tokens").alias("n_tokens"),
-        *[F.sum(f"loss_{side}").alias(f"loss_{side}") for side in SIDES],
+    counts = stored(both.groupBy("context", "last").agg(*[F.sum(side).alias(side) for side in SIDES]))
+    losses = parts.select("part", "context", "last").join(bigram_losses(counts, size).hint("merge"), ["context", "last"])
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        for part, docs, sizes, tokens in _slices(batches, path, size, part_chars):
+            ids = zstandard.ZstdCompressor(level=1).compress(tokens.astype("<u4").tobytes())
+            columns = [
+                pa.array([part]),
+                pa.array([docs.to_pylist()], pa.list_(pa.int64())),
+                pa.array([sizes], pa.list_(pa.int32())),
+                pa.array([ids], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "docs", "sizes", "ids"])
+
+    texts = rows.mapInArrow(sliced, _SLICES)
+    own = ("context", "last", "loss_background", "loss_target")
+    met = losses.select("part", F.lit(0).alias("kind"), *own, *_nulls("docs array<long>, sizes array<int>, ids binary"))
+    met = met.unionAll(
+        texts.select(
+            "part",
+            F.lit(1).alias("kind"),
+            *_nulls("context int, last int, loss_background double, loss_target double"),
+            "docs",
+            "sizes",
+            "ids",
+        )
     )
-    means = [(F.col(f"loss_{side}") / F.col("n_tokens")).alias(f"loss_{side}") for side in reversed(SIDES)]
-    return sums.select("doc_id", "n_tokens", *means).withColumn("score", F.col("loss_target") - F.col("loss_background"))
+    placed = met.repartition("part").sortWithinPartitions("part", "kind", "context", "last")
+    scored = placed.mapInArrow(_scorer(size), _SCORES)
+    return scored.withColumn("score", F.col("loss_target") - F.col("loss_background"))
+
+
+def _nulls(ddl: str) -> list[Column]:
+    return [F.lit(None).cast(kind).alias(name) for name, kind in (field.split() for field in ddl.split(", "))]
+
+
+def _scorer(size: int):
+    """Scores slices of texts (kind 1) by the losses of their part (kind 0), which come first and in order."""
+
+    def score_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        now, lists, known = None, [], None
+        for batch in batches:
+            part, kind = batch.column("part").to_numpy(), batch.column("kind").to_numpy()
+            edges = np.flatnonzero((np.diff(part, prepend=part[:1] - 1) != 0) | (np.diff(kind, prepend=-1) != 0))
+            for at, end in zip(edges, [*edges[1:], len(part)]):
+                if part[at] != now:
+                    now, lists, known = part[at], [], None
+                run = batch.slice(at, end - at)
+                if kind[at] == 0:
+                    own = [run.column(c).to_numpy() for c in ("context", "last", "loss_target", "loss_background")]
+                    lists.append((own[0].astype(np.int64) * size + own[1], own[2], own[3]))
+                    continue
+                if known is None:
+                    known, lists = [np.concatenate(c) for c in zip(*lists)], []
+                for docs, sizes, ids in zip(*(run.column(c).to_pylist() for c in ("docs", "sizes", "ids"))):
+                    tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(ids), "<u4").astype(np.int64)
+                    yield _slice_scores(docs, np.array(sizes, np.int64), tokens, known, size)
+
+    return score_parts
+
+
+def _slice_scores(docs: list, sizes: np.ndarray, tokens: np.ndarray, known: list[np.ndarray], size: int) -> pa.RecordBatch:
+    codes = _bigrams(sizes, tokens, size)
+    place = np.minimum(np.searchsorted(known[0], codes), len(known[0]) - 1)
+    if (known[0][place] != codes).any():
+        raise ValueError("the documents came in other partitions than when they were counted: store them first")
+    begin = np.cumsum(sizes) - sizes
+    target, background = (np.add.reduceat(losses[place], begin) / sizes for losses in known[1:])
+    columns = [pa.array(docs, pa.int64()), pa.array(sizes), pa.array(target), pa.array(background)]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "loss_target", "loss_background"])

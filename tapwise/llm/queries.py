@@ -70,7 +70,7 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     # The same way at every size: the labels grow with the documents.
     good = labels.where("quality = 1").select("doc_id").distinct().hint("merge")
-    return lm_score.score(docs, docs.join(good, "doc_id", "left_semi"))
+    return lm_score.score(docs, docs.join(good, "doc_id", "left_semi"), BYTE_VOCABULARY)
 
 
 # A conversation whose texts hold the template's own marks, in another layout than the table's.

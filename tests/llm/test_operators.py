@@ -162,74 +162,60 @@ def test_token_files_round_trip(odd, spark, tmp_path):
 
 # 4
 
-def test_losses_are_those_of_a_plain_model():
-    rng = np.random.default_rng(1)
-    counts = rng.integers(0, 3, size=(5, 5, 5)).astype(float) * (rng.random((5, 5, 5)) < 0.4)
-    table = lm_score.losses(counts)
-    assert np.allclose(np.exp(-table).sum(axis=-1), 1)
-    uni, bi = counts.sum((0, 1)), counts.sum(0)
-    def mix(row, lower):
-        kinds = sum(x > 0 for x in row)
-        return [(x + kinds * p) / (sum(row) + kinds) if sum(row) else p for x, p in zip(row, lower)]
-    p1 = mix(uni, [1 / 5] * 5)
-    for a in range(5):
-        for b in range(5):
-            assert np.allclose(np.exp(-table[a, b]), mix(counts[a, b], mix(bi[b], p1)))
-
-
 def test_scores_tell_the_target_from_the_rest(odd, nothing):
-    scores = lm_score.score(odd, odd.where("lang = 'de'")).collect()
+    scores = lm_score.score(odd, odd.where("lang = 'de'"), BYTES).collect()
     by = defaultdict(list)
     langs = {d: l for d, _, l, *_ in odd_rows()}
     for r in scores:
         assert r.score == pytest.approx(r.loss_target - r.loss_background)
         by[langs[r.doc_id]].append((r.n_tokens, r.score))
     assert max(s for n, s in by["de"] if n > 100) < min(s for n, s in by["en"] if n > 100)
-    assert {r.score for r in lm_score.score(odd, nothing).collect()} == {0.0}
-    assert sorted(r.n_tokens for r in scores) == sorted(len(t or "") + 1 for _, t, *_ in odd_rows())
+    assert {r.score for r in lm_score.score(odd, nothing, BYTES).collect()} == {0.0}
+    assert sorted(r.n_tokens for r in scores) == sorted(len(plain_ids(BYTES, t, 2)) for _, t, *_ in odd_rows())
+    assert lm_score.score(nothing, odd, BYTES).count() == 0
 
 
-def test_scores_are_those_of_a_plain_word_model(spark):
-    """Over 126 characters in several scripts; every word counts as itself."""
+@pytest.mark.parametrize("part_chars", [lm_score.PART_CHARS, 50])
+def test_scores_are_those_of_a_plain_bigram_model(spark, part_chars, tmp_path):
     rng = random.Random(7)
     letters = [chr(c) for c in (*range(0x61, 0x7B), *range(0x430, 0x450), *range(0x3B1, 0x3CA), *range(0x5D0, 0x5EB), *range(0x10D0, 0x10F1))]
     kinds = ["".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(400)] + ["\u6f22", "\u5b57"]
     texts = [" ".join(rng.choices(kinds, k=rng.randint(1, 30))) for _ in range(60)]
     texts += ["\u6f22\u5b57", "\u5b57\u6f22", "", None, " \n", "a\u3000b\tc", texts[0], "same", "\u0434\u043e\u043c\u0430"]
     rows = [(i, text, int(i % 3 == 0)) for i, text in enumerate(texts)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, good int")
-    found = {r.doc_id: r for r in lm_score.score(docs, docs.where("good = 1")).collect()}
+    spark.createDataFrame(rows, "doc_id long, text string, good int").repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    named = docs.selectExpr("*", "1 AS part", "2 AS context", "3 AS task", "4 AS ids")
+    found = {r.doc_id: r for r in lm_score.score(named, docs.where("good = 1"), BYTES, part_chars).collect()}
     assert len(found) == len(rows)
-
-    def sequence(text):
-        return ["<", "<", *"".join(f" {c} " if c in "\u6f22\u5b57" else c for c in text or "").split(), ">"]
-
-    def grams(own, n):
-        return Counter(tuple(s[i - n + 1 : i + 1]) for s in own for i in range(2, len(s)))
-
-    sides = {"background": [sequence(t) for t in texts], "target": [sequence(t) for _, t, good in rows if good]}
-    sums = {side: sum(len(s) - 2 for s in own) for side, own in sides.items()}
-    size = len(grams(sides["background"], 1))
-    assert len({c for t in texts for c in t or ""}) > 126
+    sides = {"background": [t for _, t, _ in rows], "target": [t for _, t, good in rows if good]}
+    sequences = {text: ["<", *plain_ids(BYTES, text, "end")] for text in texts}
+    sums = {side: sum(len(sequences[t]) - 1 for t in own) for side, own in sides.items()}
+    size = Tokenizer.from_file(BYTES).get_vocab_size() + 1
     for side, own in sides.items():
         scale = min(sums.values()) / sums[side]
-        counts = [grams(own, n) for n in (1, 2, 3)]
-        after = [defaultdict(list) for _ in counts]
-        for by, counted in zip(after, counts):
-            for gram, n in counted.items():
-                by[gram[:-1]].append(n)
-
-        def chance(gram):
-            if not gram:
-                return 1 / size
-            lower, followed = chance(gram[1:]), after[len(gram) - 1][gram[:-1]]
-            mixed = counts[len(gram) - 1][gram] * scale + len(followed) * lower
+        ones = Counter(token for t in own for token in sequences[t][1:])
+        pairs = Counter(pair for t in own for pair in zip(sequences[t], sequences[t][1:]))
+        after = defaultdict(list)
+        for (context, _), n in pairs.items():
+            after[context].append(n)
+
+        def chance(context, last):
+            lower = (ones[last] * scale + len(ones) / size) / (sums[side] * scale + len(ones))
+            followed = after[context]
+            mixed = pairs[context, last] * scale + len(followed) * lower
             return mixed / (sum(followed) * scale + len(followed)) if followed else lower
 
         for i, text in enumerate(texts):
-            s = sequence(text)
-            loss = -sum(np.log(chance(tuple(s[j - 2 : j + 1]))) for j in range(2, len(s)))
-            assert found[i][f"loss_{side}"] == pytest.approx(loss / (len(text or "") + 1)), (side, text)
+            s = sequences[text]
+            loss = -sum(np.log(chance(a, b)) for a, b in zip(s, s[1:])) / (len(s) - 1)
+            assert found[i][f"loss_{side}"] == pytest.approx(loss), (side, text)
+
+
+def test_rows_that_move_between_scans_end_the_job():
+    known = [np.array([3, 9]), np.zeros(2), np.zeros(2)]
+    with pytest.raises(ValueError, match="other partitions"):
+        lm_score._slice_scores([1], np.array([2]), np.array([1, 4]), known, 5)
 
 
 # 5
@@ -262,6 +248,37 @@ def test_odd_turns(spark):
     assert chat.read_back(chat.format_turns(turns.where("false"))).count() == 0
 
 
+BAD_RECORDS = {
+    "a turn that is text": ('{"conv_id": 5, "turn": "1", "role": "user", "text": "a"}', 5),
+    "a turn that is a fraction": ('{"conv_id": 5, "turn": 1.5, "role": "user", "text": "a"}', 5),
+    "a turn that is true": ('{"conv_id": 5, "turn": true, "role": "user", "text": "a"}', 5),
+    "a turn beyond a long": ('{"conv_id": 5, "turn": 9223372036854775808, "role": "user", "text": "a"}', 5),
+    "half a surrogate pair": (r'{"conv_id": 5, "turn": 1, "role": "user", "text": "\ud800"}', 5),
+    "half a pair in a role": (r'{"conv_id": 5, "turn": 1, "role": "\udfff", "text": "a"}', 5),
+    "half a pair in a name": (r'{"conv_id": 5, "\ud800": 1}', None),
+    "a conv_id beyond a long": ('{"conv_id": 9223372036854775808, "turn": 1, "role": "user", "text": "a"}', None),
+    "a deep record": ("[" * 100_000 + "]" * 100_000, None),
+    "a deep text": ('{"conv_id": 5, "x": ' + '{"a":' * 50_000 + "1" + "}" * 50_001, None),
+    "a name with list marks": ('{"conv_id": 5, "messages[]": {"role": "user", "content": "a"}}', 5),
+    "a name with a dot": ('{"conv_id": 5, "messages[].role": "user", "messages[].content": "a"}', 5),
+    "a list of texts": ('{"conv_id": 5, "messages": ["role", "content"]}', 5),
+    "a number": ("7", None),
+    "a long number": ('{"conv_id": 5, "turn": ' + "9" * 5_000 + ', "role": "user", "text": "a"}', None),
+    "nothing": (None, None),
+}
+
+
+@pytest.mark.parametrize("kind", BAD_RECORDS)
+def test_bad_records_give_a_row_without_a_layout(spark, kind):
+    record, conv_id = BAD_RECORDS[kind]
+    good = r'{"conv_id": 5, "turn": 2, "role": "user", "text": "\ud83d\ude42 \u00e9"}'
+    records = spark.createDataFrame([(record,), (good,)], "record string")
+    rows = sorted(chat.canonical_turns(records).collect(), key=lambda r: r.layout is not None)
+    assert (rows[0].conv_id, *rows[0][1:5]) == (conv_id, None, None, None, None)
+    assert tuple(rows[1])[:5] == (5, 2, "user", "\U0001f642 é", "turn")
+    assert sum(r.n_turns for r in chat.read_back(chat.format_turns(chat.canonical_turns(records))).collect()) == 2
+
+
 # 6
 
 def plain_fingerprint(text, n=4):
@@ -522,5 +539,5 @@ def test_empty_tables(nothing, spark):
     assert mixing.mix(nothing).count() == mixing.mixed_documents(nothing).count() == 0
     assert packing.pack(nothing, BYTES, 2).count() == 0
     assert token_files.read_token_files(token_files.write_token_files(nothing, WORDS, 1)).count() == 0
-    assert lm_score.score(nothing, nothing).count() == 0
+    assert lm_score.score(nothing, nothing, BYTES).count() == 0
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
