@@ -6,7 +6,7 @@ from tapwise.functions import values as V
 from tapwise.sources import sample
 
 TAPS = """
-SELECT user_id AS card_id,
+SELECT event_id, user_id AS card_id,
        ts + CASE WHEN user_id % 2 = 1 THEN INTERVAL 182 DAY ELSE INTERVAL 0 DAY END AS ride_start_time,
        CAST((event_id * 7 + user_id) % 9 AS INT) AS operator_id,
        CAST(event_id * 5 % 7 AS INT) AS origin_location,
@@ -29,6 +29,16 @@ FROM (
 )
 """
 
+# Some without a card, some twice, and some with another tag-on beside them.
+ODD_TAPS = f"""
+SELECT * EXCLUDE (copy) REPLACE (
+  CASE WHEN event_id % 37 = 0 THEN NULL ELSE card_id END AS card_id,
+  purse_amount + CASE copy WHEN 2 THEN 50 ELSE 0 END AS purse_amount)
+FROM ({TAPS}) taps, (VALUES (0), (1), (2)) copies(copy)
+WHERE copy = 0 OR (copy = 1 AND event_id % 41 = 0)
+   OR (copy = 2 AND event_id % 29 = 0 AND fare_transaction_sub_type IN (1, 2, 4))
+"""
+
 FARES = f"""
 SELECT t.operator,
        CASE WHEN o.k = 5 THEN '0' ELSE t.operator || ' L' || o.k END AS origin_location,
@@ -55,7 +65,7 @@ CTES = {
     "fare_table": FARES,
     "labels": LABELS,
     "subset": """
-SELECT fare_tx.*, coalesce(c.name, 'Undefined') AS fare_category_name
+SELECT fare_tx.* EXCLUDE (event_id), coalesce(c.name, 'Undefined') AS fare_category_name
 FROM fare_tx LEFT JOIN (VALUES (0, 'Adult'), (1, 'Senior'), (2, 'RTC'), (3, 'Youth')) c(code, name)
   ON c.code = fare_tx.fare_category
 WHERE ride_start_time >= TIMESTAMP '2024-01-02'
@@ -220,6 +230,16 @@ FROM discounted""",
 }
 
 
+ODD = {
+    "odd_trips": "SELECT * FROM trips",
+    "odd_transfers": "SELECT * FROM moves",
+    "odd_enriched_trips": "SELECT * FROM enriched",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    steps = ",\n".join(f"{name} AS ({text.strip()})" for name, text in CTES.items())
-    return {name: f"WITH {steps}\n{final.strip()}" for name, final in FINAL.items()}
+    def over(taps: str, finals: dict[str, str]) -> dict[str, str]:
+        steps = ",\n".join(f"{name} AS ({text.strip()})" for name, text in (CTES | {"fare_tx": taps}).items())
+        return {name: f"WITH {steps}\n{final.strip()}" for name, final in finals.items()}
+
+    return over(TAPS, FINAL) | over(ODD_TAPS, ODD)

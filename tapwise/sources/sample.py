@@ -153,6 +153,20 @@ def taps(events: DataFrame) -> DataFrame:
     One ride in five that starts with a click or purchase ends without a tag-off. Odd cards ride in
     the second half of the year.
     """
+    return _taps_of_events(events).drop("event_id")
+
+
+def odd_taps(events: DataFrame) -> DataFrame:
+    """The same taps, but some without a card, some twice, and some tag-ons with another one at the same instant
+    that charged 50 more."""
+    found = _taps_of_events(events).withColumn("card_id", F.expr("if(event_id % 37 = 0, NULL, card_id)"))
+    copies = found.where("event_id % 41 = 0")
+    more = found.where("event_id % 29 = 0 AND fare_transaction_sub_type IN (1, 2, 4)")
+    more = more.withColumn("purse_amount", F.col("purse_amount") + 50)
+    return found.unionAll(copies).unionAll(more).drop("event_id")
+
+
+def _taps_of_events(events: DataFrame) -> DataFrame:
     first = """named_struct('code',
         CASE WHEN event_type = 'error' THEN 3 + 2 * (event_id % 2)
              WHEN event_type = 'click' THEN 2
@@ -167,6 +181,7 @@ def taps(events: DataFrame) -> DataFrame:
             "*", f"explode(CASE WHEN {ends} THEN array({first}, {last}) ELSE array({first}) END) AS tap"
         )
         .selectExpr(
+            "event_id",
             "user_id AS card_id",
             "ts + if(user_id % 2 = 1, INTERVAL '182' DAY, INTERVAL '0' DAY) AS ride_start_time",
             "CAST((event_id * 7 + user_id) % 9 AS INT) AS operator_id",
@@ -218,10 +233,10 @@ def reference_tables(spark: SparkSession) -> dict[str, DataFrame]:
     return fixed | {"fare_table": fares(spark)}
 
 
-def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Inputs from the events in `sf_dir`."""
+def sample_tables(spark: SparkSession, sf_dir: str, made=taps) -> Tables:
+    """Inputs from the events in `sf_dir`; `made` makes the taps."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return Tables(taps=taps(events), **reference_tables(spark))
+    return Tables(taps=made(events), **reference_tables(spark))
 
 
 @lru_cache(maxsize=1)

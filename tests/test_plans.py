@@ -102,7 +102,7 @@ def test_taps_are_shuffled_once_and_those_of_heavy_cards_twice(spark, sf_dir, ca
         assert "SortMergeJoin" not in plan and "collect_set" not in plan
 
 
-@pytest.mark.parametrize("name", registered._QUERIES)
+@pytest.mark.parametrize("name", registered._QUERIES | registered._ODD_QUERIES)
 def test_no_pairs_and_no_python(spark, sf_dir, name, capsys):
     plan = plan_of(registered.queries()[name](spark, sf_dir), capsys)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InArrow", "InPandas", "CollectLimit", "collect_set"):

@@ -7,7 +7,7 @@ import __spark_entry__ as registered
 
 SQL = registered.oracle_sql()
 # Queries of the corpus part, where it is there, have tests of their own.
-QUERIES = {name: query for name, query in registered.queries().items() if name in registered._QUERIES}
+QUERIES = {name: query for name, query in registered.queries().items() if name in registered._QUERIES | registered._ODD_QUERIES}
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
 
