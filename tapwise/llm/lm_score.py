@@ -18,9 +18,11 @@ SLICE_CHARS = 1_000_000
 PART_CHARS = 24_000_000
 SIDES = ("background", "target")
 
-_COUNTS = "part long, context int, last int, n long"
-_SLICES = "part long, docs array<long>, sizes array<int>, ids binary"
+# What a task makes of its texts: rows of bigrams (kind 0), and slices of tokens (kind 1).
+_COUNTED = "part long, kind int, context int, last int, n long, docs array<long>, sizes array<int>, ids binary"
 _SCORES = "doc_id long, n_tokens long, loss_target double, loss_background double"
+# A part's losses are sent to it in so many rows.
+LOSS_ROWS = 64
 
 
 def vocabulary_size(path: str) -> int:
@@ -33,8 +35,7 @@ def _slices(
 ) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
     """Of some texts at once: their part, doc_ids, numbers of tokens with the end, and all tokens in turn.
 
-    `part` says where a task's rows are scanned: its partition in the upper half, and after how many characters in the lower.
-    So it is the same in every scan of the same files.
+    `part` is the task's partition in the upper half, and in the lower after how many characters it comes.
     """
     coding, slice_chars = encoder(path), min(SLICE_CHARS, part_chars)
     seen = 0
@@ -84,38 +85,50 @@ class _Counts:
             return
         codes, n = np.unique(np.concatenate(self.fresh), return_counts=True)
         every = np.concatenate([self.codes, codes])
-        order = np.argsort(every, kind="stable")
+        order = np.argsort(every)
         first = np.flatnonzero(np.diff(every[order], prepend=-1))
         self.n = np.add.reduceat(np.concatenate([self.n, n])[order], first)
         self.codes = every[order][first]
         self.fresh, self.waiting = [], 0
 
 
-def bigram_counts(texts: DataFrame, path: str, part_chars: int = PART_CHARS) -> DataFrame:
-    """How often a token follows another in each part of `texts` (doc_id, text, task): _COUNTS.
+def bigram_counts(texts: DataFrame, path: str, part_chars: int = PART_CHARS, keep: bool = False) -> DataFrame:
+    """How often a token follows another in each part of `texts` (doc_id, text, task), as rows of kind 0 of _COUNTED; with
+    `keep`, also the tokens themselves, as rows of kind 1.
 
     Counted over whole texts; a part is what one task reads, or some `part_chars` of it, and is added up there.
     """
     size = vocabulary_size(path)
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+    names = [field.split()[0] for field in _COUNTED.split(", ")]
+
+    def rows(*columns) -> pa.RecordBatch:
+        n = len(columns[0])
+        arrays = [pa.nulls(n, t) if c is None else pa.array(c, t) for c, t in zip(columns, types)]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         now, counts = None, _Counts()
 
         def done() -> Iterator[pa.RecordBatch]:
             counts.merge()
             for at in range(0, len(counts.codes), 100_000):
                 codes, n = counts.codes[at : at + 100_000], counts.n[at : at + 100_000]
-                columns = [np.full(len(n), now), (codes // size).astype(np.int32), (codes % size).astype(np.int32), n]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "context", "last", "n"])
+                yield rows(np.full(len(n), now), np.zeros(len(n), np.int32), codes // size, codes % size, n, None, None, None)
 
-        for part, _, sizes, tokens in _slices(batches, path, size, part_chars):
+        for part, docs, sizes, tokens in _slices(batches, path, size, part_chars):
             if part != now:
                 yield from done()
                 now, counts = part, _Counts()
             counts.add(_bigrams(sizes, tokens, size))
+            if keep:
+                ids = zstandard.ZstdCompressor(level=1).compress(tokens.astype("<u4").tobytes())
+                yield rows([part], [1], None, None, None, [docs.to_pylist()], [sizes], [ids])
         yield from done()
 
-    return texts.mapInArrow(count, _COUNTS)
+    return texts.mapInArrow(count, _COUNTED)
 
 
 def _chance(side: str, scale: float, total: Column, kinds: Column, lower: Column) -> Column:
@@ -162,9 +175,8 @@ def score(docs: DataFrame, target: DataFrame, path: str, part_chars: int = PART_
     `score` is loss_target - loss_background: the mean of what each token loses by it; the lower, the more like the target.
 
     Texts are encoded and counted where they are read, part by part. Each different bigram of a part is a row:
-    they are added up over all parts, its losses are looked up and sent to the part, and there the part's texts are
-    scored, streamed past their losses. No row is shuffled for each occurrence. `docs` must be a scan of files
-    or something else that has the same rows in the same partitions each time; if not, the job ends with an error.
+    they are added up over all parts, its losses are looked up and sent to the part, and there the part's tokens, which are
+    stored meanwhile, are streamed past them. No row is shuffled for each occurrence.
 
     A null or empty text has one token, its end. With no target texts both models are the same and every
     score is 0. Repeated rows are scored each; an empty table gives no rows. Other columns are not used. A single text
@@ -174,41 +186,24 @@ def score(docs: DataFrame, target: DataFrame, path: str, part_chars: int = PART_
     task = F.spark_partition_id().alias("task")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", task)
     wanted = target.select(F.lit(None).cast("long").alias("doc_id"), "text", task)
-    parts = stored(bigram_counts(rows, path, part_chars))
+    counted = stored(bigram_counts(rows, path, part_chars, keep=True))
+    parts, tokens = counted.where("kind = 0"), counted.where("kind = 1")
     none = F.lit(0).cast("long")
     both = parts.select("context", "last", F.col("n").alias("background"), none.alias("target")).unionAll(
         bigram_counts(wanted, path, part_chars).select("context", "last", none.alias("background"), F.col("n").alias("target"))
     )
     counts = stored(both.groupBy("context", "last").agg(*[F.sum(side).alias(side) for side in SIDES]))
     losses = parts.select("part", "context", "last").join(bigram_losses(counts, size).hint("merge"), ["context", "last"])
-
-    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        for part, docs, sizes, tokens in _slices(batches, path, size, part_chars):
-            ids = zstandard.ZstdCompressor(level=1).compress(tokens.astype("<u4").tobytes())
-            columns = [
-                pa.array([part]),
-                pa.array([docs.to_pylist()], pa.list_(pa.int64())),
-                pa.array([sizes], pa.list_(pa.int32())),
-                pa.array([ids], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "docs", "sizes", "ids"])
-
-    texts = rows.mapInArrow(sliced, _SLICES)
-    own = ("context", "last", "loss_background", "loss_target")
-    met = losses.select("part", F.lit(0).alias("kind"), *own, *_nulls("docs array<long>, sizes array<int>, ids binary"))
-    met = met.unionAll(
-        texts.select(
-            "part",
-            F.lit(1).alias("kind"),
-            *_nulls("context int, last int, loss_background double, loss_target double"),
-            "docs",
-            "sizes",
-            "ids",
-        )
+    # As few rows as will do: each costs something on its way to Python, however short it is.
+    group = F.pmod(F.xxhash64("context", "last"), F.lit(LOSS_ROWS)).alias("group")
+    own = F.collect_list(F.struct("context", "last", "loss_background", "loss_target")).alias("losses")
+    losses = losses.groupBy("part", group).agg(own).select(
+        "part", F.lit(0).alias("kind"), "losses", *_nulls("docs array<long>, sizes array<int>, ids binary")
+    )
+    texts = tokens.select(
+        "part", F.lit(1).alias("kind"), F.lit(None).cast(losses.schema["losses"].dataType).alias("losses"), "docs", "sizes", "ids"
     )
-    placed = met.repartition("part").sortWithinPartitions("part", "kind", "context", "last")
+    placed = losses.unionAll(texts).repartition("part").sortWithinPartitions("part", "kind")
     scored = placed.mapInArrow(_scorer(size), _SCORES)
     return scored.withColumn("score", F.col("loss_target") - F.col("loss_background"))
 
@@ -218,7 +213,7 @@ def _nulls(ddl: str) -> list[Column]:
 
 
 def _scorer(size: int):
-    """Scores slices of texts (kind 1) by the losses of their part (kind 0), which come first and in order."""
+    """Scores slices of tokens (kind 1) by the losses of their part (kind 0), which come first."""
 
     def score_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -232,11 +227,14 @@ def _scorer(size: int):
                     now, lists, known = part[at], [], None
                 run = batch.slice(at, end - at)
                 if kind[at] == 0:
-                    own = [run.column(c).to_numpy() for c in ("context", "last", "loss_target", "loss_background")]
+                    found = run.column("losses").flatten()
+                    own = [found.field(c).to_numpy() for c in ("context", "last", "loss_target", "loss_background")]
                     lists.append((own[0].astype(np.int64) * size + own[1], own[2], own[3]))
                     continue
                 if known is None:
-                    known, lists = [np.concatenate(c) for c in zip(*lists)], []
+                    known = [np.concatenate(c) for c in zip(*lists)]
+                    order = np.argsort(known[0])
+                    known, lists = [c[order] for c in known], []
                 for docs, sizes, ids in zip(*(run.column(c).to_pylist() for c in ("docs", "sizes", "ids"))):
                     tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(ids), "<u4").astype(np.int64)
                     yield _slice_scores(docs, np.array(sizes, np.int64), tokens, known, size)
@@ -245,10 +243,7 @@ def _scorer(size: int):
 
 
 def _slice_scores(docs: list, sizes: np.ndarray, tokens: np.ndarray, known: list[np.ndarray], size: int) -> pa.RecordBatch:
-    codes = _bigrams(sizes, tokens, size)
-    place = np.minimum(np.searchsorted(known[0], codes), len(known[0]) - 1)
-    if (known[0][place] != codes).any():
-        raise ValueError("the documents came in other partitions than when they were counted: store them first")
+    place = np.searchsorted(known[0], _bigrams(sizes, tokens, size))
     begin = np.cumsum(sizes) - sizes
     target, background = (np.add.reduceat(losses[place], begin) / sizes for losses in known[1:])
     columns = [pa.array(docs, pa.int64()), pa.array(sizes), pa.array(target), pa.array(background)]
