@@ -16,9 +16,9 @@ K = 20
 SCALE = 64
 # Candidates of a block of sorted lists, and queries that read them together.
 LIST_ROWS = 8192
-QUERY_ROWS = 1024
-# Each round reads the lists to this share of their length.
-DEPTHS = (0.5, 0.75)
+QUERY_ROWS = 2048
+# After these shares of the lists have been read, it is looked at who can still qualify.
+DEPTHS = (1 / 32, 1 / 8, 1 / 2, 3 / 4, 7 / 8, 15 / 16, 1)
 QUERY_LOT = 256
 PAIRS_AT_ONCE = 1 << 20
 
@@ -41,57 +41,96 @@ class SortedLists:
     """One list of all candidates for each component, in the order of its value."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
-        # Ties in score go to the smaller id, that is to the earlier column.
+        # Ties in score go to the smaller id, that is to the earlier row.
         order = np.argsort(ids, kind="stable")
         self.ids, self.values = ids[order], values[order]
-        self.sorted = np.sort(self.values, axis=0)
-
-    def frontier(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """The values last read after `depth` entries of each list, from its lower and its upper end."""
-        return self.sorted[depth - 1], self.sorted[len(self.sorted) - depth]
-
-    def read(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bounds of all scores after `depth` sequential reads of each list.
-
-        A query reads a list from the end where its own component has the greatest product. What has been
-        read counts as it is. What has not lies beyond the frontier: at best it is the frontier's
-        value, at worst that at the list's other end.
-        """
-        low, high = self.frontier(depth)
-        least, most = self.sorted[0], self.sorted[-1]
-        plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
-        signed = np.hstack([plus, minus])
-        best = np.hstack([np.maximum(self.values, high), np.minimum(self.values, low)])
-        worst = np.hstack(
-            [np.where(self.values >= high, self.values, least), np.where(self.values <= low, self.values, most)]
-        )
-        return signed @ worst.T, signed @ best.T
+        self.order = np.argsort(self.values, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(self.values, self.order, axis=0)
+
+
+class Reading:
+    """What some queries know of all candidates' scores after reading every list down to `depth`.
+
+    A query reads a list from the end where its own component has the greatest product: from the top for a positive
+    one, from the bottom for a negative one. `seen` sums up, by query and candidate, the products
+    of the entries that were read; of no other entry is anything used. What was not read lies beyond the frontier, the
+    entries read last: at best it is the frontier's value, at worst the one at the list's other end.
+    `entries` counts the entries read.
+    """
+
+    def __init__(self, queries: np.ndarray, lists: SortedLists):
+        self.lists, self.depth, self.entries = lists, 0, 0
+        n, d = lists.values.shape
+        # A query has two components for each list, one for its top and one for its bottom.
+        self.queries = np.hstack([np.maximum(queries, 0), np.minimum(queries, 0)])
+        self.seen = np.zeros((len(queries), n), queries.dtype)
+        self.unseen = np.ones((2 * d, n), queries.dtype)
+
+    def keep(self, some: np.ndarray) -> None:
+        """Goes on with some of the queries."""
+        self.queries, self.seen = self.queries[some], self.seen[some]
+
+    def read_to(self, depth: int) -> None:
+        """The next entries of each list, by all queries that read it from that end."""
+        lists, n = self.lists, len(self.lists.ids)
+        d = lists.values.shape[1]
+        fresh = np.zeros_like(self.unseen)
+        for j in range(d):
+            for part, at in ((lists.order[n - depth : n - self.depth, j], j), (lists.order[self.depth : depth, j], d + j)):
+                fresh[at, part] = lists.values[part, j]
+                self.unseen[at, part] = 0
+        self.seen += self.queries @ fresh
+        self.entries += (depth - self.depth) * int(np.count_nonzero(self.queries))
+        self.depth = depth
+
+    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of all scores, by query and candidate."""
+        ordered, n = self.lists.sorted, len(self.lists.ids)
+        best = self.queries * np.concatenate([ordered[n - self.depth], ordered[self.depth - 1]])
+        worst = self.queries * np.concatenate([ordered[0], ordered[-1]])
+        return self.seen + worst @ self.unseen, self.seen + best @ self.unseen
 
 
 def _kth(scores: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row."""
     return np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
 
 
-def search(
-    query_ids: np.ndarray, queries: np.ndarray, lists: SortedLists, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query position, candidate id, score) of every query's best k of these lists, best first.
+def qualified(query_ids: np.ndarray, queries: np.ndarray, lists: SortedLists, k: int) -> tuple[np.ndarray, int]:
+    """By query and candidate, who can be among a query's best k; and how many list entries were read for that.
 
-    The bar of a query is a score that k candidates are known to reach. After each round of reading a
-    candidate whose upper bound is below it cannot qualify. Reading goes to fixed depths, whatever
-    is left then; only those left get a final score.
+    The bar of a query is a score that k candidates are known to reach. A candidate whose upper bound is below it
+    cannot qualify. A query reads on until none but k candidates can, or all that do are known to tie.
     """
     n = len(lists.ids)
     own = query_ids[:, None] == lists.ids[None, :]
     alive = ~own
-    bar = np.full(len(queries), -np.inf)
-    for share in DEPTHS if n > k and queries.dtype != object else ():
-        lower, upper = lists.read(queries, max(1, int(share * n)))
-        lower[own] = -np.inf
-        np.maximum(bar, _kth(lower, k), out=bar)
-        alive &= upper >= bar[:, None]
-        if not alive.any():
+    if n <= k or queries.dtype == object:
+        return alive, 0
+    reading, active = Reading(queries, lists), np.arange(len(queries))
+    for share in DEPTHS:
+        reading.read_to(max(reading.depth, 1, int(share * n)))
+        lower, upper = reading.bounds()
+        lower[own[active]] = -np.inf
+        bar = _kth(lower, k)[:, None]
+        can = alive[active] & (upper >= bar)
+        alive[active] = can
+        more = can.sum(axis=1) > np.maximum(k, (can & (lower >= bar)).sum(axis=1))
+        if not more.any():
             break
+        active = active[more]
+        reading.keep(more)
+    return alive, reading.entries
+
+
+def search(
+    query_ids: np.ndarray, queries: np.ndarray, lists: SortedLists, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query position, candidate id, score) of every query's best k of these lists, best first.
+
+    Those who can qualify when reading stops get their final scores, and are ranked by them.
+    """
+    alive, _ = qualified(query_ids, queries, lists, k)
     query, candidate = np.nonzero(alive)
     scores = np.empty(len(query), queries.dtype)
     for at in range(0, len(query), PAIRS_AT_ONCE):
@@ -122,9 +161,9 @@ def top_k(
     Both tables are (vec_id, v: array of whole numbers); the score is the inner product, ties go to the smaller
     vec_id. Candidates are dealt into blocks of about `list_rows`, queries into blocks of about
     `query_rows`, and every block of queries meets every block of candidates once. There,
-    each component's values are a sorted list, read from its better end to two fixed depths, with lower
-    and upper bounds of every score; those whom the bounds leave are scored. The best of each
-    meeting are then ranked together.
+    each component's values are a sorted list, read in turn from its better end, with lower and upper bounds of
+    every score by what was read. A query stops reading when no other candidate can qualify; those who can are
+    scored. The best of each meeting are then ranked together.
 
     Rows with a null vec_id or null v, and candidates of another length than the query, take no part;
     a query with fewer candidates gets all of them; of rows that share a vec_id each is a candidate, ties
