@@ -121,13 +121,17 @@ def mix(
     consecutive blocks as its quota says, going round again where the quota is above its size, but
     never more than `most_repeats` times.
 
+    Documents are dealt to shards by doc_id and text, so those that share a doc_id, or have none, are spread
+    as others are; only rows that are equal in both lie together, one after another in any order.
+
     Returns one row per document, repeated rows included: doc_id, source, size, source_size, target, shard,
     taken (words), and where they lie: every word `repeats` times, and once more those `i` with
     (`at` + i) mod `ring` < `run`. A null or empty text has size 0 and takes nothing; a null
     source is a source of its own, the last; an empty table gives no rows. Other columns are
     left out, but for those named in `carry`, which must not bear the names above.
     """
-    sizes = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    text = F.md5(F.coalesce("text", F.lit(""))).alias("_text_md5")
+    sizes = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), text))
     targets = stored(source_targets(sizes, weights, most_repeats).withColumn(
         "shards", F.greatest(F.ceil(F.sqrt(F.col("source_size") / shard_scale)), F.lit(1)).cast("long")
     ))
@@ -137,11 +141,11 @@ def mix(
 
     known = targets.select(F.col("source").alias("_source"), "rank", "source_size", "target", "shards")
     if carry:
-        rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry)
+        rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), text, *carry)
     else:
         rows = sizes
     dealt = rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    dealt = dealt.withColumn("shard", F.pmod(draw(seed, F.col("doc_id")), F.col("shards")))
+    dealt = dealt.withColumn("shard", F.pmod(draw(seed, F.col("doc_id"), F.col("_text_md5")), F.col("shards")))
 
     shards = dealt.groupBy("rank", "shard").agg(F.sum("size").alias("ring"))
     shards = shards.join(seats.select("rank", "blocks"), "rank")
@@ -156,7 +160,9 @@ def mix(
         .select("rank", "shard", "ring", "repeats", "run", "first")
     )
 
-    order = Window.partitionBy("rank", "shard").orderBy(draw(seed + 1, F.col("doc_id")), "doc_id", "size")
+    order = Window.partitionBy("rank", "shard").orderBy(
+        draw(seed + 1, F.col("doc_id"), F.col("_text_md5")), "doc_id", "_text_md5"
+    )
     placed = dealt.withColumn("_end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     placed = placed.join(quotas, ["rank", "shard"])
 

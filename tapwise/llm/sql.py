@@ -5,7 +5,8 @@
 MIX_SQL = r"""
 WITH RECURSIVE
 sizes AS MATERIALIZED (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS own
   FROM documents),
 sources AS MATERIALIZED (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
@@ -37,7 +38,7 @@ source_quotients AS (
 source_blocks AS MATERIALIZED (SELECT rank, count(*) AS blocks FROM source_quotients WHERE place <= blocks GROUP BY rank),
 dealt AS MATERIALIZED (
   SELECT s.*, t.rank, t.source_size, t.target,
-         ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % t.shards AS shard
+         ('0x' || substr(md5('7:' || own), 1, 15))::BIGINT % t.shards AS shard
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 shards AS MATERIALIZED (
   SELECT rank, shard, sum(size)::BIGINT AS ring FROM dealt GROUP BY rank, shard),
@@ -55,7 +56,7 @@ quotas AS MATERIALIZED (
 placed AS (
   SELECT d.*, q.ring, q.words, q.begin_word,
          (sum(size) OVER (PARTITION BY rank, shard ORDER BY
-            ('0x' || substr(md5('8:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT, doc_id, size
+            ('0x' || substr(md5('8:' || own), 1, 15))::BIGINT, own
             ROWS UNBOUNDED PRECEDING))::BIGINT - size AS doc_start
   FROM dealt d JOIN quotas q USING (rank, shard))
 -- The words begin_word, begin_word + 1, ... of the endless ring: of each of its turns, what lies in the document.
