@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The temporary folder of each application that runs in one process and names no other.
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's `spark.checkpoint.dir`; a temporary folder only where Spark runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +19,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.split("[")[0] == "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tapwise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="tapwise-")
+    return _own_folders[application]
 
 
 def new_path(spark: SparkSession) -> str:

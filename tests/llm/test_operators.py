@@ -5,6 +5,7 @@ import json
 import random
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -61,6 +62,19 @@ def test_mix_comes_near_its_targets(odd):
     assert sorted(map(str, rows_of(mixing.mix(odd)))) == sorted(map(str, found and [tuple(r) for r in found]))
 
 
+def test_rows_of_one_doc_id_are_spread_over_shards(spark):
+    rows = [(None if i % 3 == 1 else 5 if i % 3 else i, f"word{i} " * 20, "s") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(docs, shard_scale=20).select("doc_id", "shard", "size", "taken").collect()
+    shards = Counter(r.shard for r in found)
+    assert len(shards) > 20 and max(shards.values()) < 4 * len(found) / len(shards)
+    for doc_id in (None, 5):
+        own = Counter(r.shard for r in found if r.doc_id == doc_id)
+        assert len(own) > 20 and max(own.values()) < 0.2 * sum(own.values())
+    again = mixing.mix(docs.repartition(5), shard_scale=20).select("doc_id", "shard", "size", "taken").collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))
+
+
 def test_quotas_are_the_highest_quotients(spark):
     rng = random.Random(3)
     rows = [(g, i, rng.choice([0, 1, 5, rng.randint(1, 10**6)]), 40 * g + 7) for g in range(6) for i in range(12)]
@@ -87,9 +101,13 @@ def test_mixed_documents_hold_the_words_taken(odd, clashing):
 
 # 2, 3
 
+@cache
+def tokenizer(name):
+    return Tokenizer.from_file(name)
+
+
 def plain_ids(name, text, end):
-    tokenizer = Tokenizer.from_file(name)
-    return tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
+    return tokenizer(name).encode(text or "", add_special_tokens=False).ids + [end]
 
 
 def test_packing_keeps_every_piece_and_fills_bins(odd):
@@ -176,15 +194,14 @@ def test_scores_tell_the_target_from_the_rest(odd, nothing):
 
 
 @pytest.mark.parametrize("part_chars", [lm_score.PART_CHARS, 50])
-def test_scores_are_those_of_a_plain_bigram_model(spark, part_chars, tmp_path):
+def test_scores_are_those_of_a_plain_bigram_model(spark, part_chars):
     rng = random.Random(7)
     letters = [chr(c) for c in (*range(0x61, 0x7B), *range(0x430, 0x450), *range(0x3B1, 0x3CA), *range(0x5D0, 0x5EB), *range(0x10D0, 0x10F1))]
     kinds = ["".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(400)] + ["\u6f22", "\u5b57"]
     texts = [" ".join(rng.choices(kinds, k=rng.randint(1, 30))) for _ in range(60)]
     texts += ["\u6f22\u5b57", "\u5b57\u6f22", "", None, " \n", "a\u3000b\tc", texts[0], "same", "\u0434\u043e\u043c\u0430"]
     rows = [(i, text, int(i % 3 == 0)) for i, text in enumerate(texts)]
-    spark.createDataFrame(rows, "doc_id long, text string, good int").repartition(3).write.parquet(f"{tmp_path}/docs")
-    docs = spark.read.parquet(f"{tmp_path}/docs")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, good int").repartition(3)
     named = docs.selectExpr("*", "1 AS part", "2 AS context", "3 AS task", "4 AS ids")
     found = {r.doc_id: r for r in lm_score.score(named, docs.where("good = 1"), BYTES, part_chars).collect()}
     assert len(found) == len(rows)
@@ -212,12 +229,6 @@ def test_scores_are_those_of_a_plain_bigram_model(spark, part_chars, tmp_path):
             assert found[i][f"loss_{side}"] == pytest.approx(loss), (side, text)
 
 
-def test_rows_that_move_between_scans_end_the_job():
-    known = [np.array([3, 9]), np.zeros(2), np.zeros(2)]
-    with pytest.raises(ValueError, match="other partitions"):
-        lm_score._slice_scores([1], np.array([2]), np.array([1, 4]), known, 5)
-
-
 # 5
 
 def test_layouts_become_the_same_turns(spark):
@@ -406,6 +417,44 @@ def test_top_k(spark, scale):
             scores = [(-clip(sum(a * b for a, b in zip(v, w))), i) for i, w in rows if i not in (None, q) and w and len(w) == len(v)]
             assert have[q] == [(i, -s) for s, i in sorted(scores)[:5]], q
     assert top_k.top_k(frame.where("false"), frame).count() == top_k.top_k(frame, frame.where("false")).count() == 0
+    # Rows that share a vec_id are candidates each, but not of their own query; further columns don't matter.
+    shared = frame.unionAll(frame.where("vec_id = 20")).selectExpr("*", "1 AS d", "2 AS lists", "3 AS kind", "4 AS score")
+    again = top_k.top_k(shared.where("vec_id % 20 = 0"), shared, k=5, list_rows=40, query_rows=3).collect()
+    assert [tuple(r) for r in sorted(again) if r.query_id == 20] == [tuple(r) for r in sorted(found) if r.query_id == 20]
+
+
+def test_unsound_vectors_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (1, None), (2, []), (3, [nan, 1.0]), (4, [1.0, -inf]), (5, [None, 1.0]), (6, [0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert [r.vec_id for r in frame.where(top_k.sound("embedding")).collect()] == [0, 6]
+
+
+@pytest.mark.parametrize("kind", ["skewed", "flat", "ties"])
+def test_reading_stops_when_no_outsider_qualifies(kind):
+    rng = np.random.default_rng(11)
+    n, d, k = 3000, 12, 20
+    if kind == "skewed":
+        values = np.floor(rng.pareto(0.7, (n, d)) * 4).clip(0, 100_000)
+    else:
+        values = rng.integers(-60, 60, (n, d)) if kind == "flat" else rng.integers(0, 2, (n, d))
+    values = values.astype(np.float64)
+    queries = values[:40].copy()
+    lists = top_k.SortedLists(np.arange(n), values)
+    alive, entries = top_k.qualified(np.arange(40), queries, lists, k)
+    scores = queries @ values.T
+    scores[np.arange(40), np.arange(40)] = -np.inf
+    bar = np.sort(scores, axis=1)[:, -k]
+    assert (alive | (scores < bar[:, None])).all()
+    every = n * np.count_nonzero(queries)
+    if kind == "skewed":
+        assert entries < 0.35 * every
+    else:
+        assert 0.5 * every < entries <= every
+    query, found, got = top_k.search(np.arange(40), queries, lists, k)
+    for i in range(40):
+        want = sorted((-s, j) for j, s in enumerate(scores[i]))[:k]
+        assert list(zip(-got[query == i], found[query == i])) == want
 
 
 # 8
