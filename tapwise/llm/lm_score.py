@@ -14,7 +14,7 @@ from tapwise.llm.scratch import stored
 from tapwise.llm.tokens import encoder
 
 # Texts are encoded in slices of so many characters, and counted in parts of so many.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 3_000_000
 PART_CHARS = 24_000_000
 SIDES = ("background", "target")
 
@@ -30,6 +30,11 @@ def vocabulary_size(path: str) -> int:
     return encoder(path).tokenizer.get_vocab_size(with_added_tokens=True) + 1
 
 
+def _code_type(size: int):
+    """The narrowest type that holds a bigram as one number."""
+    return np.uint32 if size * (size + 1) <= 2**32 else np.int64
+
+
 def _slices(
     batches: Iterator[pa.RecordBatch], path: str, size: int, part_chars: int
 ) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
@@ -48,7 +53,7 @@ def _slices(
             end = max(at + 1, int(np.searchsorted(ends, before + slice_chars, "right")))
             own = [np.frombuffer(ids, "<u4") for ids in coding.encode(batch.column("text").slice(at, end - at))]
             sizes = np.array([len(ids) + 1 for ids in own], np.int32)
-            tokens = np.full(int(sizes.sum()), size - 1, np.int64)
+            tokens = np.full(int(sizes.sum()), size - 1, _code_type(size))
             place = np.ones(len(tokens), bool)
             place[np.cumsum(sizes) - 1] = False
             tokens[place] = np.concatenate(own)
@@ -60,17 +65,19 @@ def _slices(
 
 def _bigrams(sizes: np.ndarray, tokens: np.ndarray, size: int) -> np.ndarray:
     """Each token with the one before it, as one number; before a text's first stands `size`."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.cumsum(sizes) - sizes] = size
-    return before * size + tokens
+    codes = np.empty_like(tokens)
+    codes[1:] = tokens[:-1]
+    codes[np.cumsum(sizes) - sizes] = size
+    codes *= codes.dtype.type(size)
+    codes += tokens
+    return codes
 
 
 class _Counts:
     """Sorted bigrams and how often each was added; new ones are merged in when they have become many."""
 
-    def __init__(self):
-        self.codes, self.n = np.empty(0, np.int64), np.empty(0, np.int64)
+    def __init__(self, size: int):
+        self.codes, self.n = np.empty(0, _code_type(size)), np.empty(0, np.int64)
         self.fresh: list[np.ndarray] = []
         self.waiting = 0
 
@@ -86,9 +93,10 @@ class _Counts:
         codes, n = np.unique(np.concatenate(self.fresh), return_counts=True)
         every = np.concatenate([self.codes, codes])
         order = np.argsort(every)
-        first = np.flatnonzero(np.diff(every[order], prepend=-1))
+        every = every[order]
+        first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
         self.n = np.add.reduceat(np.concatenate([self.n, n])[order], first)
-        self.codes = every[order][first]
+        self.codes = every[first]
         self.fresh, self.waiting = [], 0
 
 
@@ -110,7 +118,7 @@ def bigram_counts(texts: DataFrame, path: str, part_chars: int = PART_CHARS, kee
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        now, counts = None, _Counts()
+        now, counts = None, _Counts(size)
 
         def done() -> Iterator[pa.RecordBatch]:
             counts.merge()
@@ -121,7 +129,7 @@ def bigram_counts(texts: DataFrame, path: str, part_chars: int = PART_CHARS, kee
         for part, docs, sizes, tokens in _slices(batches, path, size, part_chars):
             if part != now:
                 yield from done()
-                now, counts = part, _Counts()
+                now, counts = part, _Counts(size)
             counts.add(_bigrams(sizes, tokens, size))
             if keep:
                 ids = zstandard.ZstdCompressor(level=1).compress(tokens.astype("<u4").tobytes())
@@ -229,14 +237,15 @@ def _scorer(size: int):
                 if kind[at] == 0:
                     found = run.column("losses").flatten()
                     own = [found.field(c).to_numpy() for c in ("context", "last", "loss_target", "loss_background")]
-                    lists.append((own[0].astype(np.int64) * size + own[1], own[2], own[3]))
+                    codes = own[0].astype(np.int64) * size + own[1]
+                    lists.append((codes.astype(_code_type(size)), own[2], own[3]))
                     continue
                 if known is None:
                     known = [np.concatenate(c) for c in zip(*lists)]
                     order = np.argsort(known[0])
                     known, lists = [c[order] for c in known], []
                 for docs, sizes, ids in zip(*(run.column(c).to_pylist() for c in ("docs", "sizes", "ids"))):
-                    tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(ids), "<u4").astype(np.int64)
+                    tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(ids), "<u4").astype(_code_type(size))
                     yield _slice_scores(docs, np.array(sizes, np.int64), tokens, known, size)
 
     return score_parts
