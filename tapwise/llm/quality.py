@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +23,8 @@ NEIGHBOURS = 25
 # A neighbour's vote counts as its similarity to this power.
 SHARPNESS = 4
 TIE = 1e-6
-# Beside the terms, which have length 1 together: how far a text repeats its last word.
-REPEAT_WEIGHT = 1.0
-REPEAT_FULL = 0.25
+# How far back a word came last is told in powers of two of words, up to the last of these.
+RECURRENCES = 16
 HELD_OUT_FOLDS, HELD_OUT = 5, 0
 MIN_SCORE = 0.3
 BLOCK_DOCS = 512
@@ -37,17 +35,33 @@ def held_out(doc_id: str = "doc_id", folds: int = HELD_OUT_FOLDS, fold: int = HE
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(True))
 
 
+def trigram_counts(text: str) -> np.ndarray:
+    """Counts of a text's character trigrams, hashed."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    if len(points) < 3:
+        return np.zeros(TERMS, np.int64)
+    mixed = points[:-2] * np.uint32(0x9E3779B1) ^ points[1:-1] * np.uint32(0x85EBCA6B) ^ points[2:] * np.uint32(0xC2B2AE35)
+    terms = (mixed * np.uint32(0x27D4EB2F)) >> np.uint32(32 - (TERMS - 1).bit_length())
+    return np.bincount(terms, minlength=TERMS)
+
+
 def term_counts(text: str | None) -> np.ndarray:
-    """Counts of a text's character trigrams, hashed, and its share of words that repeat the word before."""
+    """Counts of a text's trigrams, and of its words by how far back the same word came last.
+
+    The first of the latter are words that are new, the next those that repeat the word before, then those
+    two or three words back, and so on. A text of fewer than three characters has no counts.
+    """
     text = text or ""
-    counts = np.zeros(TERMS + 1, np.float32)
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    if len(points) > 2:
-        mixed = points[:-2] * np.uint32(0x9E3779B1) ^ points[1:-1] * np.uint32(0x85EBCA6B) ^ points[2:] * np.uint32(0xC2B2AE35)
-        terms = (mixed * np.uint32(0x27D4EB2F)) >> np.uint32(32 - (TERMS - 1).bit_length())
-        counts[:TERMS] = np.bincount(terms, minlength=TERMS)
-        words = text.split()
-        counts[TERMS] = sum(map(eq, words, words[1:])) / max(1, len(words) - 1)
+    counts = np.zeros(TERMS + RECURRENCES, np.float32)
+    if len(text) < 3:
+        return counts
+    counts[:TERMS] = trigram_counts(text)
+    last: dict[str, int] = {}
+    back = [0] * RECURRENCES
+    for i, word in enumerate(text.split()):
+        back[min((i - last.get(word, i)).bit_length(), RECURRENCES - 1)] += 1
+        last[word] = i
+    counts[TERMS:] = back
     return counts
 
 
@@ -82,10 +96,11 @@ class Space:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    terms = np.log1p(counts[:, :TERMS]) * idf
-    terms /= np.maximum(np.linalg.norm(terms, axis=1, keepdims=True), 1e-12)
-    repeats = REPEAT_WEIGHT * np.minimum(1.0, counts[:, TERMS:] / REPEAT_FULL)
-    return np.hstack([terms, repeats]).astype(np.float32)
+    """Two parts of length 1 each: trigrams, dampened and weighted by how rare they are, and recurrences as they are."""
+    parts = np.log1p(counts[:, :TERMS]) * idf, counts[:, TERMS:]
+    return np.hstack(
+        [part / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-12) for part in parts]
+    ).astype(np.float32)
 
 
 def leading_axes(square: np.ndarray, dimensions: int) -> np.ndarray:
@@ -108,7 +123,7 @@ def document_counts(docs: DataFrame) -> tuple[int, np.ndarray]:
         found = np.zeros(TERMS + 1, np.int64)
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                found[:TERMS] += term_counts(text)[:TERMS] > 0
+                found[:TERMS] += trigram_counts(text or "") > 0
             found[TERMS] += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(TERMS + 1)), pa.array(found)], names=["term", "n"])
 
@@ -122,7 +137,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER
     """The space and labelled vectors of a sample of the labelled documents that are not held out.
 
     Terms are weighted by the number of all documents that have them. Of the sample only counts of terms come
-    to the driver: at most about 2 * `sample_per_class` rows of TERMS + 1 numbers. Labels that are null, or of documents that do not exist, are not used.
+    to the driver: at most about 2 * `sample_per_class` rows of TERMS + RECURRENCES numbers. Labels that are null, or of documents that do not exist, are not used.
     """
     known = labels.where(~held_out() & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     sizes = {row["quality"]: row["n"] for row in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -148,7 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER
     n = rows.num_rows
     prior = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5
     labels = rows.column("quality").to_numpy()
-    counts = np.empty((n, TERMS + 1), np.float32)
+    counts = np.empty((n, TERMS + RECURRENCES), np.float32)
     for i, row in enumerate(rows.column("counts")):
         counts[i] = np.frombuffer(row.as_buffer(), np.float32)
     del rows
@@ -156,7 +171,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER
     idf = np.log((everything + 1) / (having + 1)) + 0.1
     # Block by block, so that the driver holds the counts and one square matrix.
     blocks = [counts[at : at + BLOCK_DOCS] for at in range(0, n, BLOCK_DOCS)]
-    square = np.zeros((TERMS + 1, TERMS + 1))
+    square = np.zeros((TERMS + RECURRENCES, TERMS + RECURRENCES))
     for block in blocks:
         terms = weighted(block, idf).astype(np.float64)
         square += terms.T @ terms

@@ -480,6 +480,17 @@ def test_votes_are_those_of_a_plain_search(odd, clashing, nothing, spark, labels
     assert quality.score(nothing, space).count() == 0
 
 
+def test_recurrences_are_counted_by_distance():
+    words = "a a b a c c c b x y z a".split()
+    back = quality.term_counts(" ".join(words))[quality.TERMS :].tolist()
+    want = Counter()
+    for i, word in enumerate(words):
+        ago = next((i - j for j in range(i - 1, -1, -1) if words[j] == word), 0)
+        want[ago.bit_length()] += 1
+    assert back == [want[i] for i in range(quality.RECURRENCES)] and sum(back) == len(words)
+    assert not quality.term_counts("ab").any() and not quality.term_counts(None).any()
+
+
 def test_nothing_is_learned_from_held_out_rows(spark):
     ids = [i for i in range(400)]
     frame = spark.createDataFrame([(i,) for i in ids], "doc_id long")
