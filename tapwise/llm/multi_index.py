@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapwise.llm.components import components
+from tapwise.llm.drawing import drawn_number, share
 from tapwise.llm.runs import starts, whole_runs
 from tapwise.llm.scratch import stored
 
@@ -168,10 +169,10 @@ def _linked(
     spark = rows.sparkSession
     total = rows.count()
     sample_rows = min(sample_rows, max(1, SAMPLE_BYTES // (8 * dimensions)))
-    share = min(1.0, sample_rows / total)
-    # A draw on the id, which is the same in every run; its expected size is the bound.
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit(SEED), "vec_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    drawn = drawn.orderBy("vec_id").limit(sample_rows).select("v").toArrow().column("v")
+    # A draw on id and vector, which is the same in every run; its expected size is the bound. Repeated rows count once.
+    draw = drawn_number("vectors", "vec_id", "v")
+    drawn = rows.select("vec_id", "v", draw.alias("draw")).where(F.col("draw") < share(total, sample_rows))
+    drawn = drawn.dropDuplicates(["vec_id", "v"]).orderBy("draw").limit(sample_rows).select("v").toArrow().column("v")
     rng = np.random.default_rng(SEED)
     if len(drawn):
         sample = drawn.combine_chunks().flatten().to_numpy().reshape(-1, dimensions)
