@@ -1,6 +1,6 @@
 """Small made-up inputs, and a plain-Python account of what should come out of them.
 
-The account goes row by row and shares nothing with the engine but its table of labels.
+The account goes row by row and shares nothing with the engine.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tapwise.functions.values import OPERATOR_LABELS
+from oracle import LABEL_ROWS
 from tapwise.schema import INPUT_COLUMNS
 from tapwise.sources.tables import Tables
 
@@ -88,8 +88,8 @@ def random_world(seed: int, taps: int = 160) -> dict[str, list[tuple]]:
     have duplicate keys, holes and NULLs."""
     r = random.Random(seed)
     names = ["Golden Gate Transit", "Napa Solano", "East Bay", "Corridor 101", "Ferry"]
-    kinds = sorted({k.replace("*", " X") for _, ks, _ in OPERATOR_LABELS for k in ks}) + ["Plain"]
-    labels = sorted({label for *_, label in OPERATOR_LABELS}) + names
+    kinds = sorted({pattern.replace("%", " X") for _, pattern, _ in LABEL_ROWS}) + ["Plain"]
+    labels = sorted({label for *_, label in LABEL_ROWS}) + names
 
     def maybe(value, chance=0.1):
         return None if r.random() < chance else value
@@ -261,10 +261,10 @@ class Account:
 
     @staticmethod
     def label(participant, route_type):
-        for who, patterns, label in OPERATOR_LABELS:
-            for pattern in patterns if who == participant and route_type is not None else ():
+        for who, pattern, label in LABEL_ROWS:
+            if who == participant and route_type is not None:
                 if route_type == pattern or (
-                    pattern.endswith("*") and route_type.startswith(pattern[:-1])
+                    pattern.endswith("%") and route_type.startswith(pattern[:-1])
                 ):
                     return label
         return participant
