@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapwise.llm.memory import give_back
 from tapwise.llm.scratch import stored
 from tapwise.llm.tokens import encoder
 
@@ -105,6 +106,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
                     rows = []
             if rows:
                 yield batch_of(rows)
+        give_back()
 
     schema = PIECE_SCHEMA + (", ids binary" if with_ids else "")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
@@ -137,6 +139,7 @@ def pack(
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
         bins, offsets = best_fit_decreasing(rows["length"].to_numpy(), capacity)
         first = int(rows["_group"].iloc[0]) << 32
+        give_back()
         return rows.drop(columns="_group").assign(sequence_id=first + bins, offset=offsets)
 
     # The row's own number goes into the draw, so that any number of equal rows spread as well.
