@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import json
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,17 +49,8 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write_token_files(table(spark, sf_dir, "documents"), WORD_VOCABULARY, FILE_END_ID)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [zlib.crc32(ids) for ids in batch.column("ids").to_pylist()]
-            kept = [batch.column(c) for c in ("doc_id", "start", "n_tokens")]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
-            )
-
-    return token_files.read_token_files(files).mapInArrow(
-        digest, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    return token_files.read_token_files(files).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
 
 

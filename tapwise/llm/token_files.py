@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapwise.llm.memory import give_back
 from tapwise.llm.scratch import new_path, stored
 from tapwise.llm.tokens import encoder
 
@@ -188,6 +189,7 @@ def write_token_files(
         writer.close()
         out.close()
         store.move(draft, f"{root}/{name}")
+        give_back()
         row = [context.partitionId(), f"{folder}/{name}", len(writer.keys), sum(writer.counts)]
         types = [pa.int32(), pa.string(), pa.int64(), pa.int64()]
         names = ["part", "path", "n_docs", "n_tokens"]
@@ -218,6 +220,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
                             held = []
                     if held:
                         yield _batch(held)
+        give_back()
 
     # A row per file is so little that adaptive execution would read all files in one task; a number stays.
     spread = files.repartitionByRange(max(1, files.count()), "part")

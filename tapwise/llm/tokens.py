@@ -17,11 +17,15 @@ CACHED_BYTES = 40
 # Words are looked up for so many bytes of text at once, and ids put together for so many words.
 SLICE_BYTES = 4_000_000
 GATHER_WORDS = 100_000
+# New runs of letters are encoded so many at once, with a stop behind each.
+JOINED_PIECES = 256
+STOP = "."
 
 # Letters that stay one letter when composed and lower-cased (İ becomes two characters).
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 # Runs of letters and runs of the rest, each with the single space before it.
 _PIECES = re.compile(f" ?[{_LETTERS}]+| ?[^{_LETTERS} ]+")
+_LETTER_RUN = rf"^ ?[{_LETTERS}]+$"
 # Where tokens may reach over the ends of such runs: other letters, contractions, rows of white space.
 _OPEN = re.compile(rf"[^\x00-\x7f{_LETTERS}]|'|\s\s|(?<=[\s\S]) | $")
 # A space alone between two words.
@@ -52,6 +56,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Control strings in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
+        self.stop = self.tokenizer.encode(STOP, add_special_tokens=False).ids
         # Known pieces, their ids in turn, and where each one's ids begin and the last one's end.
         self.known = pa.array([], pa.string())
         self.ids = np.empty(0, np.uint32)
@@ -95,8 +100,9 @@ class Encoder:
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in turn, and where each word's begin and the last one's end."""
         whole = pc.binary_join_element_wise(words, _MARK, "")
-        pieces = pc.replace_substring_regex(words, f"({_PIECES.pattern})", rf"\1{_MARK}")
-        cut = pc.split_pattern(pc.if_else(pc.match_substring_regex(words, _OPEN_WORD), whole, pieces), _MARK)
+        mixed = pc.invert(pc.match_substring_regex(words, f"{_LETTER_RUN}|{_OPEN_WORD}"))
+        pieces = pc.replace_substring_regex(words.filter(mixed), f"({_PIECES.pattern})", rf"\1{_MARK}")
+        cut = pc.split_pattern(pc.replace_with_mask(whole, mixed, pieces), _MARK)
         coded = cut.flatten().dictionary_encode()
         ids, edges = self._pieces(coded.dictionary)
         ids, edges = _gather(ids, edges, coded.indices.to_numpy(zero_copy_only=False))
@@ -113,10 +119,9 @@ class Encoder:
         """The ids of all `pieces`, each of which is there once, and their bounds."""
         place = pc.index_in(pieces, value_set=self.known)
         rare = pieces.filter(pc.is_null(place))
-        encodings = self.tokenizer.encode_batch_fast(rare.to_pylist(), add_special_tokens=False)
-        own = [encoding.ids for encoding in encodings]
-        ids = np.append(self.ids, np.fromiter(chain.from_iterable(own), np.uint32))
-        edges = np.append(self.edges, self.edges[-1] + np.cumsum([len(one) for one in own], dtype=np.int64))
+        own, bounds = self._rare(rare)
+        ids = np.append(self.ids, own)
+        edges = np.append(self.edges, self.edges[-1] + bounds[1:])
         known = place.to_numpy(zero_copy_only=False)
         missing = np.isnan(known) if known.dtype.kind == "f" else np.zeros(len(known), bool)
         number = np.where(missing, len(self.known) + np.cumsum(missing) - 1, np.nan_to_num(known)).astype(np.int64)
@@ -130,6 +135,31 @@ class Encoder:
             self.edges = np.append(self.edges, self.edges[-1] + ends[1:])
         return found
 
+    def _rare(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all `pieces` in turn, and their bounds, by the tokenizer.
+
+        Nearly all are runs of letters, of which no token reaches into a stop behind them or has its id.
+        """
+        if len(self.stop) != 1:
+            return self._encoded(pieces.to_pylist())
+        joins = pc.match_substring_regex(pieces, _LETTER_RUN)
+        runs = pieces.filter(joins).to_pylist()
+        parts = (runs[at : at + JOINED_PIECES] for at in range(0, len(runs), JOINED_PIECES))
+        flat, _ = self._encoded([STOP.join(part) + STOP for part in parts])
+        stops = np.flatnonzero(flat == self.stop[0])
+        if len(stops) != len(runs):
+            return self._encoded(pieces.to_pylist())
+        ids, sizes = self._encoded(pieces.filter(pc.invert(joins)).to_pylist())
+        joined = joins.to_numpy(zero_copy_only=False)
+        number = np.where(joined, np.cumsum(joined), len(runs) + np.cumsum(~joined)) - 1
+        edges = np.append(stops - np.arange(len(stops)), len(flat) - len(stops) + sizes[1:])
+        return _gather(np.append(np.delete(flat, stops), ids), np.append(0, edges), number)
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        own = [encoding.ids for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        bounds = np.append(0, np.cumsum([len(one) for one in own], dtype=np.int64))
+        return np.fromiter(chain.from_iterable(own), np.uint32, int(bounds[-1])), bounds
+
 
 def _gather(ids: np.ndarray, edges: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the parts `number` of `ids` in turn, and where each begins; `edges` bounds the parts."""

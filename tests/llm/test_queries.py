@@ -53,6 +53,12 @@ def test_op3_reads_back_every_document(spark, sf_dir, docs):
     assert found == want
 
 
+def test_op3_sends_ids_to_no_second_worker(spark, sf_dir):
+    """The files' own reader is the only Python worker of the last stage."""
+    plan = queries.op3_token_files(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_op4_scores_every_document(spark, sf_dir, docs):
     found = {r.doc_id: r for r in queries.op4_lm_score(spark, sf_dir).collect()}
     assert {i: r.n_tokens for i, r in found.items()} == {i: len(plain_ids(BYTES, text, 2)) for i, text in docs}
